@@ -1 +1,9 @@
 """Lodestar: analytics operators written as ``DataFrame -> DataFrame`` functions on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run inside tasks travel with the job, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Above this many degrees of freedom a t statistic is treated as normal.
 _NORMAL_FROM = 1000
@@ -46,11 +47,11 @@ def _t_two_sided(t: float, dof: int) -> float:
     return max(0.0, 1 - 2 / math.pi * (angle + sin * math.cos(angle) * total))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([_chi2_tail(float(a), int(b)) for a, b in zip(x, dof)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([_t_two_sided(float(a), int(b)) for a, b in zip(t, dof)])
