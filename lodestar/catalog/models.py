@@ -1,3 +1,200 @@
-from lodestar.catalog import Catalog
+"""Feature preparation and regression studies on ``lineitem`` (linear models) and ``part`` (the rest)."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
+
+from lodestar.catalog import Catalog, table
+from lodestar.operators import bivariate as bi
+from lodestar.operators import learn
 
 catalog = Catalog()
+LABEL = "l_extendedprice"
+NUMBERS = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _round(df, digits, *cols):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def _lines(spark, sf):
+    return table(spark, sf, "lineitem").withColumn("row_key", F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+
+
+def _parts(spark, sf):
+    """Parts as features: size and dummies of type; the price is the label."""
+    frame = table(spark, sf, "part").select("p_partkey", "p_size", "p_type", "p_retailprice")
+    encoded = learn.dummies(frame, ["p_type"])
+    features = [c for c in encoded.columns if c not in ("p_partkey", "p_retailprice")]
+    return encoded, features
+
+
+def _part_scores(spark, sf, fit_for):
+    frame, features = _parts(spark, sf)
+    return learn.cv_scores(frame, fit_for(features), features, "p_retailprice", "p_partkey")
+
+
+@catalog.add(
+    "dummies",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS "l_returnflag_N",
+       CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS "l_returnflag_R", CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS "l_linestatus_O"
+       FROM lineitem""",
+)
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return learn.dummies(rows, ["l_returnflag", "l_linestatus"])
+
+
+@catalog.add(
+    "standardize",
+    """SELECT p_partkey, round((p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_pop(p_size) FROM part), 8) AS p_size,
+       round((p_retailprice - (SELECT avg(p_retailprice) FROM part)) / (SELECT stddev_pop(p_retailprice) FROM part), 8) AS p_retailprice FROM part""",
+)
+def _(spark, sf):
+    cols = ["p_size", "p_retailprice"]
+    return _round(learn.standardize(table(spark, sf, "part").select("p_partkey", *cols), cols), 8, *cols)
+
+
+@catalog.add(
+    "split_counts",
+    """SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'test' ELSE 'train' END AS part, count(*) AS n FROM orders GROUP BY 1""",
+)
+def _(spark, sf):
+    train, test = learn.split(table(spark, sf, "orders"), F.col("o_orderkey") % 5 == 0)
+    return (
+        train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
+        .groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@catalog.add("fold_balance")
+def _(spark, sf):
+    return learn.folds(table(spark, sf, "orders"), "o_orderkey").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@catalog.add(
+    "baseline_mae",
+    """WITH m AS (SELECT avg(l_extendedprice) AS m FROM lineitem)
+       SELECT round(max(m), 4) AS mean, round(avg(abs(l_extendedprice - m)), 4) AS mae FROM lineitem, m""",
+)
+def _(spark, sf):
+    return _round(learn.baseline(table(spark, sf, "lineitem"), LABEL), 4, "mean", "mae")
+
+
+@catalog.add(
+    "linreg_two_features",
+    """WITH c AS (SELECT covar_pop(l_quantity, l_extendedprice) AS ayy, covar_pop(l_discount, l_extendedprice) AS byy,
+         var_pop(l_quantity) AS aa, var_pop(l_discount) AS bb, covar_pop(l_quantity, l_discount) AS ab,
+         avg(l_quantity) AS ma, avg(l_discount) AS mb, avg(l_extendedprice) AS my FROM lineitem),
+       s AS (SELECT *, (ayy * bb - byy * ab) / (aa * bb - ab * ab) AS wa, (byy * aa - ayy * ab) / (aa * bb - ab * ab) AS wb FROM c)
+       SELECT 'l_quantity' AS feature, round(wa, 3) AS coefficient FROM s UNION ALL SELECT 'l_discount', round(wb, 3) FROM s
+       UNION ALL SELECT '(intercept)', round(my - wa * ma - wb * mb, 3) FROM s""",
+)
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").select(*NUMBERS[:2], LABEL)
+    model = learn.linear(LABEL)(learn.assemble(rows, NUMBERS[:2]))
+    intercept = spark.createDataFrame([("(intercept)", float(model.intercept))], "feature string, coefficient double")
+    return _round(learn.coef_table(rows, model, NUMBERS[:2]).unionByName(intercept), 3, "coefficient")
+
+
+_LINE = """t AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b
+     FROM lineitem WHERE l_orderkey % 5 <> 0)"""
+
+
+def _line_split(spark, sf):
+    train, test = learn.split(table(spark, sf, "lineitem"), F.col("l_orderkey") % 5 == 0)
+    return train, test, bi.simple_regression(train, "l_quantity", LABEL)
+
+
+@catalog.add(
+    "residual_stats",
+    f"""WITH {_LINE}, r AS (SELECT l_extendedprice - (a * l_quantity + b) AS r FROM lineitem, t WHERE l_orderkey % 5 <> 0)
+        SELECT count(r) AS n, round(avg(r), 4) + 0.0 AS mean, round(stddev_samp(r), 4) AS std FROM r""",
+)
+def _(spark, sf):
+    train, _, line = _line_split(spark, sf)
+    return _round(learn.residual_stats(learn.line_prediction(train, line, "l_quantity"), LABEL), 4, "mean", "std")
+
+
+@catalog.add(
+    "test_metrics",
+    f"""WITH {_LINE}, p AS (SELECT l_extendedprice AS y, a * l_quantity + b AS p FROM lineitem, t WHERE l_orderkey % 5 = 0)
+        SELECT round(1 - avg((y - p) * (y - p)) / var_pop(y), 8) AS r2, round(avg(abs(y - p)), 4) AS mae,
+          round(sqrt(avg((y - p) * (y - p))), 4) AS rmse FROM p""",
+)
+def _(spark, sf):
+    _, test, line = _line_split(spark, sf)
+    result = learn.test_metrics(learn.line_prediction(test, line, "l_quantity"), LABEL)
+    return _round(_round(result, 8, "r2"), 4, "mae", "rmse")
+
+
+@catalog.add("cv_scores")
+def _(spark, sf):
+    return learn.cv_scores(_lines(spark, sf), learn.linear(LABEL), NUMBERS[:2], LABEL, "row_key")
+
+
+@catalog.add("rf_cv")
+def _(spark, sf):
+    return _part_scores(spark, sf, lambda features: learn.random_forest("p_retailprice", trees=100))
+
+
+@catalog.add("gbt_cv")
+def _(spark, sf):
+    return _part_scores(spark, sf, lambda features: learn.boosting("p_retailprice", rounds=20))
+
+
+@catalog.add("poly_cv")
+def _(spark, sf):
+    return learn.cv_scores(_lines(spark, sf), learn.poly2(LABEL), NUMBERS, LABEL, "row_key")
+
+
+@catalog.add("ridge_grid")
+def _(spark, sf):
+    return learn.ridge_grid(table(spark, sf, "lineitem"), NUMBERS, LABEL, learn.log_spaced(-3, 3, 20))
+
+
+@catalog.add("ridge_cv")
+def _(spark, sf):
+    fit = learn.ridge(LABEL, NUMBERS, learn.log_spaced(-3, 3, 20))
+    return learn.cv_scores(_lines(spark, sf), fit, NUMBERS, LABEL, "row_key")
+
+
+@catalog.add("lasso_cv")
+def _(spark, sf):
+    return learn.cv_scores(_lines(spark, sf), learn.lasso(LABEL), NUMBERS, LABEL, "row_key")
+
+
+@catalog.add("model_table")
+def _(spark, sf):
+    """Nested feature sets, then the penalised and the polynomial model, as one ranking."""
+    coded = learn.dummies(_lines(spark, sf).select("row_key", *NUMBERS, "l_returnflag", "l_linestatus", LABEL), ["l_returnflag", "l_linestatus"])
+    every = [c for c in coded.columns if c not in ("row_key", LABEL)]
+    score = lambda fit, features: learn.cv_scores(coded, fit, features, LABEL, "row_key")
+    return learn.model_table(
+        {
+            "linear, 2 features": score(learn.linear(LABEL), NUMBERS[:2]),
+            "linear, numbers": score(learn.linear(LABEL), NUMBERS),
+            "linear, all": score(learn.linear(LABEL), every),
+            "ridge": score(learn.ridge(LABEL, every, learn.log_spaced(-3, 3, 20)), every),
+            "lasso": score(learn.lasso(LABEL), every),
+            "polynomial": score(learn.poly2(LABEL), every),
+        }
+    )
+
+
+@catalog.add("coef_table")
+def _(spark, sf):
+    coded = learn.dummies(table(spark, sf, "lineitem").select(*NUMBERS, "l_returnflag", "l_linestatus", LABEL), ["l_returnflag", "l_linestatus"])
+    features = [c for c in coded.columns if c != LABEL]
+    return learn.coef_table(coded, learn.linear(LABEL)(learn.assemble(coded, features)), features)
+
+
+@catalog.add("rf_classifier")
+def _(spark, sf):
+    """Type of a part from size and price, as a direct classification; accuracy on held-out parts."""
+    rows = learn.assemble(table(spark, sf, "part"), ["p_size", "p_retailprice"])
+    indexed = StringIndexer(inputCol="p_type", outputCol="label_index", stringOrderType="alphabetAsc").fit(rows).transform(rows)
+    train, test = learn.split(indexed, learn.fold_of("p_partkey", 5) == 0)
+    scored = learn.forest_classifier("label_index", trees=50)(train).transform(test)
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label_index")).cast("double")).alias("accuracy"))
