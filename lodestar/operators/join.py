@@ -21,9 +21,8 @@ def enrich(df: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "
 def resolve_edges(edges: DataFrame, vertices: DataFrame, src: str, dst: str, id_col: str) -> DataFrame:
     """Keep only edges whose two ends both exist."""
     ids = vertices.select(id_col)
-    return edges.join(ids.withColumnRenamed(id_col, src), src, "left_semi").join(
-        ids.withColumnRenamed(id_col, dst), dst, "left_semi"
-    )
+    from_known = edges.join(ids.withColumnRenamed(id_col, src), src, "left_semi")
+    return from_known.join(ids.withColumnRenamed(id_col, dst), dst, "left_semi").select(*edges.columns)
 
 
 def dangling_edges(edges: DataFrame, vertices: DataFrame, src: str, dst: str, id_col: str) -> DataFrame:
