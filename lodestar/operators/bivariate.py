@@ -97,14 +97,14 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     w, u, v = F.col("w"), F.col("u"), F.col("v")
     return centred.agg(
         F.sum("w").alias("n"),
-        (F.sum(w * u * v) / F.sqrt(F.sum(w * u * u) * F.sum(w * v * v))).alias("rho"),
+        F.try_divide(F.sum(w * u * v), F.sqrt(F.sum(w * u * u)) * F.sqrt(F.sum(w * v * v))).alias("rho"),
     )
 
 
 def spearman_test(df: DataFrame, x: str, y: str) -> DataFrame:
     """:func:`spearman` with the two-sided p-value of its t statistic."""
     rho, dof = F.col("rho"), F.col("n") - 2
-    t = rho * F.sqrt(dof / ((1 - rho) * (1 + rho)))
+    t = F.when(F.abs(rho) < 1, rho * F.sqrt(dof / ((1 - rho) * (1 + rho)))).otherwise(F.lit(float("inf")))
     return spearman(df, x, y).withColumn("p_value", t_two_sided(t, dof))
 
 

@@ -58,17 +58,23 @@ def kmeans_sweep(pts: DataFrame, ks: Sequence[int], seeds: int = 10, silhouettes
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def gmm(pts: DataFrame, k: int, seed: int = 42) -> GaussianMixtureModel:
-    return GaussianMixture(k=k, seed=seed, maxIter=100).fit(with_vector(pts))
+def gmm(pts: DataFrame, k: int, seeds: int = 5, seed: int = 42) -> GaussianMixtureModel:
+    """Best of several random starts by likelihood (a single start often ends in a poor optimum)."""
+    data = with_vector(pts).persist()
+    try:
+        models = [GaussianMixture(k=k, seed=seed + i, maxIter=100).fit(data) for i in range(seeds)]
+    finally:
+        data.unpersist()
+    return max(models, key=lambda m: m.summary.logLikelihood)
 
 
-def gmm_bic(pts: DataFrame, ks: Sequence[int], seed: int = 42) -> DataFrame:
+def gmm_bic(pts: DataFrame, ks: Sequence[int], seeds: int = 5) -> DataFrame:
     """Bayesian information criterion per number of components (full covariances)."""
     n = pts.count()
     d = len(pts.first()["x"])
     rows = []
     for k in ks:
-        likelihood = gmm(pts, k, seed).summary.logLikelihood
+        likelihood = gmm(pts, k, seeds).summary.logLikelihood
         free = (k - 1) + k * d + k * d * (d + 1) // 2
         rows.append((k, float(likelihood), float(free * np.log(n) - 2 * likelihood)))
     return pts.sparkSession.createDataFrame(rows, "k int, log_likelihood double, bic double")
@@ -159,7 +165,8 @@ def silhouette(labelled: DataFrame, label: str, sample: int | None = None, seed:
         F.max(F.when(own, F.col("s") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"),
         F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"),
     )
-    score = F.when(F.col("size") == 1, 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    apart = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    score = F.when(F.col("b").isNotNull(), F.when(F.col("size") == 1, 0.0).otherwise(apart))
     return per_point.agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("silhouette"))
 
 
@@ -212,7 +219,7 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
         F.sum(pairs("nb") / F.col("kb")).alias("in_b"),
         F.sum("n").alias("total"),
     )
-    chance = F.col("in_a") * F.col("in_b") / pairs("total")
+    chance = F.coalesce(F.try_divide(F.col("in_a") * F.col("in_b"), pairs("total")), F.lit(0.0))
     top, bottom = F.col("both") - chance, (F.col("in_a") + F.col("in_b")) / 2 - chance
     return sums.select(F.when(bottom == 0, 1.0).otherwise(top / bottom).alias("ari"))
 

@@ -73,8 +73,10 @@ def linear(label: str) -> Fit:
     return LinearRegression(labelCol=label, solver="normal").fit
 
 
-def random_forest(label: str, trees: int = 300, seed: int = 42) -> Fit:
-    return RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed).fit
+def random_forest(label: str, trees: int = 300, depth: int = 10, seed: int = 42) -> Fit:
+    """Bagged trees; every split may use every feature, as is usual for regression forests."""
+    forest = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed)
+    return forest.fit
 
 
 def boosting(label: str, rounds: int = 100, seed: int = 42) -> Fit:
@@ -108,8 +110,8 @@ def ridge(label: str, features: Sequence[str], alphas: Sequence[float]) -> Fit:
     return fit
 
 
-def forest_classifier(label_index: str, trees: int = 300, seed: int = 42) -> Fit:
-    return RandomForestClassifier(labelCol=label_index, numTrees=trees, seed=seed).fit
+def forest_classifier(label_index: str, trees: int = 300, depth: int = 10, seed: int = 42) -> Fit:
+    return RandomForestClassifier(labelCol=label_index, numTrees=trees, maxDepth=depth, seed=seed).fit
 
 
 def log_spaced(low: float, high: float, n: int) -> list[float]:
@@ -167,7 +169,7 @@ def metrics(label: str, prediction: str = "prediction") -> list[Column]:
     """R², mean absolute error and root mean squared error as aggregates."""
     error = F.col(label) - F.col(prediction)
     return [
-        (1 - F.avg(error * error) / F.var_pop(label)).alias("r2"),
+        (1 - F.try_divide(F.avg(error * error), F.var_pop(label))).alias("r2"),
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
     ]

@@ -63,7 +63,7 @@ def variances(df: DataFrame, col: str) -> DataFrame:
 
 def coef_variation(df: DataFrame, col: str) -> DataFrame:
     """Population standard deviation as a percentage of the mean."""
-    return df.agg((F.stddev_pop(col) / F.avg(col) * 100).alias("cv"))
+    return df.agg((F.try_divide(F.stddev_pop(col), F.avg(col)) * 100).alias("cv"))
 
 
 def moments(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -118,10 +118,10 @@ def histogram(df: DataFrame, col: str, bins: int | str = "sturges") -> DataFrame
 
 def weighted_stats(hist: DataFrame, value: str = "mid", weight: str = "n") -> DataFrame:
     """Weighted mean and population variance."""
-    mean = hist.agg(F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).scalar()
+    mean = hist.agg(F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(weight))).scalar()
     return hist.select(F.col(value).alias("x"), F.col(weight).alias("w"), mean.alias("m")).agg(
         F.max("m").alias("mean"),
-        (F.sum(F.col("w") * F.pow(F.col("x") - F.col("m"), F.lit(2))) / F.sum("w")).alias("variance"),
+        F.try_divide(F.sum(F.col("w") * F.pow(F.col("x") - F.col("m"), F.lit(2))), F.sum("w")).alias("variance"),
     )
 
 
@@ -132,7 +132,7 @@ def weighted_quantile(hist: DataFrame, probs: Sequence[float], value: str = "mid
     to the last of them on the left side and the first beyond on the right side.
     """
     placed = prefix_sum(hist.select(F.col(value).alias("x"), F.col(weight).alias("w")), ["x"], "w")
-    c = (F.col("below") + F.col("w") * 0.5) / F.col("total")
+    c = F.try_divide(F.col("below") + F.col("w") * 0.5, F.col("total"))
     at = placed.select("x", c.alias("c"))
     aggs = []
     for i, p in enumerate(probs):

@@ -59,8 +59,11 @@ def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str, bu
 
 
 def alert_columns(df: DataFrame, value: str, pct: float, strict: bool = False) -> DataFrame:
-    """Relative change against ``previous`` in percent; keep changes of at least ``pct``."""
-    change = (F.col(value) - F.col("previous")) / F.col("previous") * 100
+    """Relative change against ``previous`` in percent; keep changes of at least ``pct``.
+
+    From a previous value of zero there is no relative change, hence no alert.
+    """
+    change = F.try_divide(F.col(value) - F.col("previous"), F.col("previous")) * 100
     size = F.abs(F.col("change_pct"))
     return (
         df.withColumn("change_pct", change)

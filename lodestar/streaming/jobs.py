@@ -60,7 +60,8 @@ def stream_change_alert(
             if before is not None:
                 batch.loc[0, "previous"] = before
             self.last.update((float(batch[value].iloc[-1]),))
-            batch["change_pct"] = (batch[value] - batch["previous"]) / batch["previous"] * 100
+            base = batch["previous"].where(batch["previous"] != 0)
+            batch["change_pct"] = (batch[value] - base) / base * 100
             size = batch["change_pct"].abs()
             hits = batch[(size > pct) if strict else (size >= pct)].copy()
             hits["direction"] = hits["change_pct"].gt(0).map({True: "up", False: "down"})
