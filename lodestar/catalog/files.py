@@ -119,10 +119,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch(spark, "documents")
-    sales = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    sums = agg.totals(table(spark, sf, "orders"), "o_custkey", "o_totalprice").withColumnRenamed("o_custkey", "c_custkey")
     stores = table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
-    joined = join.enrich(join.enrich(sales, stores, "c_custkey"), table(spark, sf, "nation"), "n_nationkey")
-    documents.write_documents(agg.nested_revenue(joined, "n_name", "c_mktsegment", "o_totalprice"), path)
+    joined = join.enrich(join.enrich(sums, stores, "c_custkey"), table(spark, sf, "nation"), "n_nationkey")
+    documents.write_documents(agg.nested_revenue(joined, "n_name", "c_mktsegment"), path)
     ddl = """n_name STRING, sales BIGINT, revenue DOUBLE,
              parts ARRAY<STRUCT<c_mktsegment: STRING, sales: BIGINT, revenue: DOUBLE>>"""
     entry = lambda p: F.concat(p["c_mktsegment"], F.lit("="), p["sales"], F.lit("/"), p["revenue"].cast("decimal(28,2)"))

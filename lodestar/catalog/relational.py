@@ -90,9 +90,9 @@ def _(spark, sf):
 
 def _documents(spark, sf):
     """One document per market segment with the totals of its nations."""
-    sales = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    joined = join.enrich(sales, table(spark, sf, "customer"), "c_custkey")
-    return agg.nested_revenue(joined, "c_mktsegment", "c_nationkey", "o_totalprice")
+    sums = project.rename(agg.totals(table(spark, sf, "orders"), "o_custkey", "o_totalprice"), {"o_custkey": "c_custkey"})
+    joined = join.enrich(sums, table(spark, sf, "customer"), "c_custkey")
+    return agg.nested_revenue(joined, "c_mktsegment", "c_nationkey")
 
 
 @catalog.add(
@@ -295,10 +295,10 @@ def _(spark, sf):
        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
 )
 def _(spark, sf):
-    sales = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_totalprice")
+    sums = project.rename(agg.totals(table(spark, sf, "orders"), "o_custkey", "o_totalprice"), {"o_custkey": "c_custkey"})
     stores = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    joined = join.enrich(join.enrich(sales, stores, "c_custkey"), table(spark, sf, "nation"), "n_nationkey")
-    return agg.revenue_by(joined, "n_name", "o_totalprice")
+    joined = join.enrich(join.enrich(sums, stores, "c_custkey"), table(spark, sf, "nation"), "n_nationkey")
+    return agg.revenue_by(joined, "n_name")
 
 
 @catalog.add(
@@ -444,7 +444,7 @@ CHANGE_ALERT_SQL = """WITH p AS (SELECT event_id, user_id, value, lag(value) OVE
 @catalog.add("change_alert", CHANGE_ALERT_SQL)
 def _(spark, sf):
     ticks = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
-    alerts = window.change_alert(ticks, "user_id", ["ts", "event_id"], "value", F.to_date("ts"))
+    alerts = window.change_alert(ticks, "user_id", ["ts", "event_id"], "value", F.date_trunc("minute", "ts"))
     return alerts.withColumn("change_pct", F.round("change_pct", 4)).drop("ts")
 
 

@@ -111,7 +111,7 @@ def _(spark, sf):
     target = scratch(spark, "alert-table")
 
     def step(batch, epoch):
-        sinks.alert_batch(batch, target, epoch, "user_id", ["ts", "event_id"], "value", F.to_date("ts"))
+        sinks.alert_batch(batch, target, epoch, "user_id", ["ts", "event_id"], "value", F.date_trunc("minute", "ts"))
 
     _finish(_ticks(spark, sf), step)
     return _alert_view(sinks.read_epochs(spark, f"{target}/alerts"))

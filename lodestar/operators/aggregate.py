@@ -59,25 +59,33 @@ def rollup_sum(df: DataFrame, group: str, col: str, out: str | None = None) -> D
     return df.groupBy(group).agg(F.sum(col).alias(out or col))
 
 
-def revenue_by(df: DataFrame, group: str | Sequence[str], amount: str) -> DataFrame:
-    """Number of sales and exact revenue per group, largest revenue first."""
+def totals(df: DataFrame, keys: str | Sequence[str], amount: str) -> DataFrame:
+    """Sales and exact revenue per key, both still addable (revenue stays decimal).
+
+    Reduce facts with this by their join key before dimensions come in: the join then meets one
+    row per key, however many sales a single store has.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("sales"), F.sum(money(F.col(amount))).alias("revenue"))
+
+
+def revenue_by(sums: DataFrame, group: str | Sequence[str]) -> DataFrame:
+    """Number of sales and revenue per group from :func:`totals`, largest revenue first."""
     group = [group] if isinstance(group, str) else list(group)
     return (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("sales"), F.sum(money(F.col(amount))).cast("double").alias("revenue"))
+        sums.groupBy(*group)
+        .agg(F.sum("sales").alias("sales"), F.sum("revenue").cast("double").alias("revenue"))
         .orderBy(F.desc("revenue"), *group)
     )
 
 
-def nested_revenue(df: DataFrame, outer: str, inner: str, amount: str) -> DataFrame:
-    """One document per ``outer`` with a sorted list of its ``inner`` totals.
+def nested_revenue(sums: DataFrame, outer: str, inner: str) -> DataFrame:
+    """One document per ``outer`` with a sorted list of its ``inner`` totals, from :func:`totals`.
 
-    Two levels: rows are reduced to (outer, inner) first, so the list has one entry per inner
-    value (a store, a nation), not per row. Totals stay decimal until the end.
+    Two levels: (outer, inner) first, so the list has one entry per inner value (a store, a
+    nation), not per row.
     """
-    small = df.groupBy(outer, inner).agg(
-        F.count(F.lit(1)).alias("sales"), F.sum(money(F.col(amount))).alias("_revenue")
-    )
+    small = sums.groupBy(outer, inner).agg(F.sum("sales").alias("sales"), F.sum("revenue").alias("_revenue"))
     entry = F.struct(F.col(inner), F.col("sales"), F.col("_revenue").cast("double").alias("revenue"))
     return small.groupBy(outer).agg(
         F.sum("sales").alias("sales"),
@@ -116,12 +124,17 @@ def top_groups(df: DataFrame, key: str, n: int) -> DataFrame:
     return counter(df, key).orderBy(F.desc("n"), key).limit(n)
 
 
+def _both_known(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+
+
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence[str], margins: bool = False) -> DataFrame:
     """Contingency table, one column per level of ``b``.
 
     ``values`` are given, so no extra job looks for them. With ``margins`` a ``Sum`` row and a
-    ``Sum`` column are added through one cube.
+    ``Sum`` column are added through one cube. Rows that miss a level do not count.
     """
+    df = _both_known(df, a, b)
     if not margins:
         return df.groupBy(a).pivot(b, list(values)).agg(F.count(F.lit(1))).fillna(0)
     cubed = df.cube(a, b).agg(F.count(F.lit(1)).alias("_n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb"))
@@ -138,7 +151,7 @@ def frequencies(df: DataFrame, a: str, b: str) -> DataFrame:
 
     The windows run over the reduced table (levels of a × levels of b).
     """
-    cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    cells = _both_known(df, a, b).groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     total = cells.agg(F.sum("n")).scalar()
     n_a = F.sum("n").over(Window.partitionBy(a))
     n_b = F.sum("n").over(Window.partitionBy(b))

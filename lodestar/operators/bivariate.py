@@ -42,7 +42,8 @@ def _expected(df: DataFrame, a: str, b: str) -> DataFrame:
     Works on the contingency table, whose size is levels × levels. Empty cells come from
     pairing every row level with the list of column levels.
     """
-    cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    known = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    cells = known.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     levels = cells.agg(F.sort_array(F.collect_set(b))).scalar()
     grid = cells.select(a).distinct().select(a, F.explode(levels).alias(b))
     full = grid.join(cells, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("observed"))

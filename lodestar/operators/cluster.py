@@ -81,21 +81,24 @@ def gmm_bic(pts: DataFrame, ks: Sequence[int], seeds: int = 5) -> DataFrame:
 
 
 def _ward_merges(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Merge weighted centres by Ward's criterion until k groups are left; group per centre."""
+    """Merge weighted centres by Ward's criterion until k groups are left; group per centre.
+
+    ``cost`` holds the growth of the squared error for every merge. After a merge the costs of
+    the new group follow from the old ones and the weights.
+    """
+    w = weights.astype(float).copy()
+    gaps = ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    cost = gaps * np.outer(w, w) / (w[:, None] + w[None, :])
+    np.fill_diagonal(cost, np.inf)
     group = np.arange(len(centres))
-    alive = list(range(len(centres)))
-    c, w = centres.copy(), weights.astype(float).copy()
-    while len(alive) > k:
-        at = np.array(alive)
-        gaps = ((c[at][:, None, :] - c[at][None, :, :]) ** 2).sum(axis=2)
-        cost = gaps * np.outer(w[at], w[at]) / (w[at][:, None] + w[at][None, :])
-        np.fill_diagonal(cost, np.inf)
-        i, j = np.unravel_index(np.argmin(cost), cost.shape)
-        a, b = min(at[i], at[j]), max(at[i], at[j])
-        c[a] = (c[a] * w[a] + c[b] * w[b]) / (w[a] + w[b])
+    for _ in range(len(centres) - k):
+        a, b = sorted(np.unravel_index(np.argmin(cost), cost.shape))
+        open_ = np.isfinite(cost[a]) & np.isfinite(cost[b])
+        merged = ((w[a] + w) * cost[a] + (w[b] + w) * cost[b] - w * cost[a, b]) / (w[a] + w[b] + w)
+        cost[a, :] = cost[:, a] = np.where(open_, merged, np.inf)
+        cost[b, :] = cost[:, b] = np.inf
         w[a] += w[b]
         group[group == b] = a
-        alive.remove(b)
     return np.unique(group, return_inverse=True)[1]
 
 

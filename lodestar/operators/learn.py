@@ -26,13 +26,16 @@ MAX_LEVELS = 1000
 
 
 def dummies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """0/1 columns per category without the alphabetically first one; the categories go."""
-    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols]).first()
+    """0/1 columns per category without the alphabetically first one; the categories go.
+
+    At most one level more than :data:`MAX_LEVELS` reaches the driver per column.
+    """
     named = {}
     for c in cols:
-        if len(row[c]) > MAX_LEVELS:
-            raise ValueError(f"{c} has {len(row[c])} levels")
-        for level in row[c][1:]:
+        found = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
+        if len(found) > MAX_LEVELS:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
+        for level in sorted(r[0] for r in found)[1:]:
             named[f"{c}_{level}"] = F.coalesce(F.col(c) == F.lit(level), F.lit(False)).cast("int")
     return df.withColumns(named).drop(*cols)
 

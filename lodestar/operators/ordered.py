@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.session import cut
+from lodestar.session import cut, sent_if_small
 
 # monotonically_increasing_id() keeps the slice number above bit 33 and the row position below.
 _SLICE_BITS = 33
@@ -104,7 +104,7 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         return ranked
     starts = ranked.groupBy(*by).agg(F.min("below").alias("_start"), F.sum("n").alias("_size"))
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"g.{c}")) for c in by]
-    return ranked.alias("r").join(starts.alias("g"), same).select(
+    return ranked.alias("r").join(sent_if_small(starts).alias("g"), same).select(
         *[F.col(f"r.{c}").alias(c) for c in by],
         F.col(f"r.{value}").alias(value),
         "n",

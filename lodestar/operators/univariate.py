@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.ordered import prefix_sum, quantile_exprs, quantiles, value_ranks
 from lodestar.operators.project import unpivot_row
+from lodestar.session import sent_if_small
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def freq_table(df: DataFrame, col: str) -> DataFrame:
-    """Count and relative frequency per value."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    """Count and relative frequency per value; missing values do not count."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("freq", F.col("n") / total)
 
 
 def modes(df: DataFrame, col: str) -> DataFrame:
-    """All values that share the largest count."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    """All values that share the largest count; missing values do not count."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") == counts.agg(F.max("n")).scalar())
 
 
@@ -173,7 +174,8 @@ def _fences(df: DataFrame, col: str, by: Sequence[str]) -> tuple[DataFrame, Data
     ranks = value_ranks(df, col, by)
     marks = ranks.groupBy(*by).agg(*quantile_exprs(col, QUARTILES, ["q1", "median", "q3"]))
     iqr = F.col("q3") - F.col("q1")
-    return ranks, marks.withColumn("_lo", F.col("q1") - 1.5 * iqr).withColumn("_hi", F.col("q3") + 1.5 * iqr)
+    fences = marks.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
+    return ranks, sent_if_small(fences)
 
 
 def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestar.operators.ordered import value_ranks
+from lodestar.session import sent_if_small
 
 
 def top_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
@@ -36,23 +37,34 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
 
 
-def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str, bucket: Column, out: str = "previous") -> DataFrame:
+#: A key with more rows than this is sorted in several buckets instead of one.
+HOT_ROWS = 1_000_000
+
+
+def previous_value(
+    df: DataFrame, key: str, order: Sequence[str], value: str, bucket: Column, out: str = "previous", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Value of the preceding row of the same key.
 
-    ``bucket`` must rise with the order (a day of the time stamp, say). Rows are sorted per
-    (key, bucket), so one hot key spreads over as many tasks as it has buckets; the first row
-    of a bucket takes the last value of the key's preceding bucket from a table with one row
-    per (key, bucket).
+    Ordinary keys are sorted whole. A hot key (more than ``hot_rows`` rows) is sorted per
+    ``bucket``, an expression that rises with the order, such as the minute of a time stamp, so
+    it spreads over as many tasks as it has buckets. The first row of a bucket takes the last
+    value of the key's preceding bucket, from a table with one row per (key, bucket). There are
+    at most rows / ``hot_rows`` hot keys, so their list is small.
     """
-    marked = df.withColumn("_b", bucket)
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = sent_if_small(sizes.select(F.col(key).alias("_hot")))
+    marked = df.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_b", F.when(F.col("_hot").isNotNull(), bucket))
+    marked = marked.drop("_hot")
     inside = Window.partitionBy(key, "_b").orderBy(*order)
     rows = marked.withColumn("_in", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
-    ends = marked.groupBy(key, "_b").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end"))
+    split = marked.filter("_b is not null")
+    ends = split.groupBy(key, "_b").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end"))
     carried = ends.select(
-        key, "_b", F.lag("_end").over(Window.partitionBy(key).orderBy("_b")).alias("_carry")
+        F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.lag("_end").over(Window.partitionBy(key).orderBy("_b")).alias("_carry")
     ).filter("_carry is not null")
     return (
-        rows.join(carried, [key, "_b"], "left")
+        rows.join(carried, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
         .withColumn(out, F.coalesce("_in", "_carry")["v"])
         .select(*df.columns, out)
     )
@@ -73,10 +85,17 @@ def alert_columns(df: DataFrame, value: str, pct: float, strict: bool = False) -
 
 
 def change_alert(
-    df: DataFrame, key: str, order: Sequence[str], value: str, bucket: Column, pct: float = 0.05, strict: bool = False
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    bucket: Column,
+    pct: float = 0.05,
+    strict: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows whose value moved by at least ``pct`` percent since the key's previous row."""
-    return alert_columns(previous_value(df, key, order, value, bucket), value, pct, strict)
+    return alert_columns(previous_value(df, key, order, value, bucket, hot_rows=hot_rows), value, pct, strict)
 
 
 def cumulative(df: DataFrame, col: str) -> DataFrame:

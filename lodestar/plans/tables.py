@@ -16,15 +16,14 @@ def write_query_table(
     partition_cols: Sequence[str],
     cluster_cols: Sequence[str | Column],
     buckets: int | None = None,
-    files_per_partition: int = 1,
     mode: str = "overwrite",
 ) -> None:
     """Write rows grouped by partition columns and sorted by cluster columns inside each file.
 
-    Low-cardinality keys become directories (``target`` is a path). High-cardinality keys need
-    ``buckets``: then ``target`` is a table name and rows are hashed into that many files.
-    ``files_per_partition`` salts the shuffle so that one hot partition is written by several
-    tasks; each of its files stays sorted.
+    Low-cardinality keys become directories (``target`` is a path). The rebalance hint brings a
+    directory's rows together, and lets Spark cut a large directory into several tasks of the
+    advisory size and pack small ones into one. High-cardinality keys need ``buckets``: then
+    ``target`` is a table name and rows are hashed into that many files.
     """
     order = [c if isinstance(c, Column) else F.col(c) for c in cluster_cols]
     keys = [F.col(c) for c in partition_cols]
@@ -34,23 +33,19 @@ def write_query_table(
         writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *partition_cols)
         writer.sortBy(*cluster_cols).mode(mode).saveAsTable(target)
         return
-    salt = [F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))] if files_per_partition > 1 else []
-    laid_out = df.repartition(*keys, *salt).sortWithinPartitions(*keys, *order)
+    laid_out = df.hint("rebalance", *partition_cols).sortWithinPartitions(*keys, *order)
     laid_out.write.mode(mode).partitionBy(*partition_cols).parquet(target)
 
 
-def monthly_partition(df: DataFrame, ts: str, key: str, target: str, files_per_month: int = 4) -> None:
+def monthly_partition(df: DataFrame, ts: str, key: str, target: str) -> None:
     """Composite key (month, entity), which bounds how large one entity's partition can grow.
 
     The month is a directory. The entity may have millions of values, too many for directories:
-    within a month rows are hashed by entity into files and sorted by it, so a filter on both
-    prunes directories first and then row groups by their stored ranges. An entity's rows of
-    one month go to one file, which the month bounds.
+    each file is sorted by it, so a filter on both prunes directories first and then row groups
+    and pages by their stored ranges.
     """
     monthly = df.withColumn("month", F.date_format(ts, "yyyy-MM"))
-    slot = F.pmod(F.xxhash64(key), F.lit(files_per_month))
-    laid_out = monthly.repartition(F.col("month"), slot).sortWithinPartitions("month", key, ts)
-    laid_out.write.mode("overwrite").partitionBy("month").parquet(target)
+    write_query_table(monthly, target, ["month"], [key, ts])
 
 
 def pk_overwrite(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

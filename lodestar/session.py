@@ -6,15 +6,23 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows a helper table may have to be sent to every executor: some tens of megabytes for the
+#: narrow tables (keys and a few numbers) this is used for.
+BROADCAST_ROWS = 500_000
 
 #: Settings every job of the library wants. Values already set by the cluster win.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when a later step then has to shuffle once more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -59,3 +67,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from there (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """Write a narrow helper table down, count it, and mark it for broadcast only if it is small.
+
+    Beyond the bound the join is shuffled, with adaptive splitting of hot keys.
+    """
+    table = cut(df)
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table

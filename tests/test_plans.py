@@ -45,7 +45,7 @@ def test_no_window_without_partition_over_rows(spark):
 
 def test_partition_pruning_and_full_scan_warning(spark):
     path = scratch(spark, "by-type")
-    tables.write_query_table(_events(spark), path, ["event_type"], [F.desc("value"), "event_id"], files_per_partition=2)
+    tables.write_query_table(_events(spark), path, ["event_type"], [F.desc("value"), "event_id"])
     table = spark.read.parquet(path)
     assert inspect.scan_warning(table.filter("value > 90")) is not None
     pruned = table.filter("event_type = 'error' AND value > 90")

@@ -81,8 +81,8 @@ def test_change_alert_equals_loop(skewed):
         before, last[r["key"]] = last.get(r["key"]), r["value"]
         if before is not None and abs((r["value"] - before) / before * 100) >= 5:
             want.add((r["id"], before, "up" if r["value"] > before else "down"))
-    for bucket in (F.to_date("ts"), F.date_trunc("hour", "ts"), F.lit(0)):
-        rows = window.change_alert(skewed, "key", ["ts", "id"], "value", bucket, 5).collect()
+    for hot_rows, bucket in ((100, F.to_date("ts")), (1000, F.date_trunc("hour", "ts")), (0, F.lit(0)), (10**6, F.to_date("ts"))):
+        rows = window.change_alert(skewed, "key", ["ts", "id"], "value", bucket, 5, hot_rows=hot_rows).collect()
         assert {(r["id"], r["previous"], r["direction"]) for r in rows} == want
 
 
@@ -94,8 +94,14 @@ def test_alert_threshold_can_be_strict(spark):
 
 def test_null_previous_is_kept_as_null(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 5.0), ("a", 3, 6.0)], "k string, t int, v double")
-    rows = window.previous_value(df, "k", ["t"], "v", F.col("t")).orderBy("t").collect()
-    assert [r["previous"] for r in rows] == [None, None, 5.0]
+    for hot_rows in (0, 10):
+        rows = window.previous_value(df, "k", ["t"], "v", F.col("t"), hot_rows=hot_rows).orderBy("t").collect()
+        assert [r["previous"] for r in rows] == [None, None, 5.0]
+
+
+def test_no_alert_from_zero(spark):
+    df = spark.createDataFrame([("a", 1, 0.0), ("a", 2, 5.0), ("a", 3, 6.0)], "k string, t int, v double")
+    assert [r["t"] for r in window.change_alert(df, "k", ["t"], "v", F.lit(0)).collect()] == [3]
 
 
 def test_latest_and_topk(skewed):
@@ -130,6 +136,6 @@ def test_overlapping_ranges_are_flagged(spark):
 
 def test_nested_documents_are_sorted(spark):
     df = spark.createDataFrame([("x", 2, 1.1), ("x", 1, 2.2), ("x", 2, 0.1), ("y", 3, 1.0)], "o string, i int, a double")
-    rows = {r["o"]: r for r in agg.nested_revenue(df, "o", "i", "a").collect()}
+    rows = {r["o"]: r for r in agg.nested_revenue(agg.totals(df, ["o", "i"], "a"), "o", "i").collect()}
     assert [(p["i"], p["sales"], p["revenue"]) for p in rows["x"]["parts"]] == [(1, 1, 2.2), (2, 2, 1.2)]
     assert rows["x"]["revenue"] == 3.4
