@@ -139,7 +139,7 @@ def _(spark, sf):
     return documents.with_document_id(files.read_csv(spark, path, CUSTOMER_DDL), ["c_custkey", "c_name", "c_mktsegment"])
 
 
-@catalog.add("document_random_id")
+@catalog.add("document_random_id", "SELECT count(*) AS documents, count(*) AS ids FROM customer")
 def _(spark, sf):
     ids = documents.with_document_id(table(spark, sf, "customer"))
     return ids.agg(F.count(F.lit(1)).alias("documents"), F.count_distinct("_id").alias("ids"))

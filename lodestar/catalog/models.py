@@ -129,19 +129,31 @@ def _(spark, sf):
     return _round(_round(result, 8, "r2"), 4, "mae", "rmse")
 
 
-@catalog.add("cv_scores")
+@catalog.add(
+    "cv_scores",
+    """WITH x AS (SELECT l_orderkey % 5 AS f, l_quantity AS a, l_discount AS b, l_extendedprice AS y FROM lineitem),
+       k AS (SELECT unnest(range(5)) AS k),
+       c AS (SELECT k, covar_pop(a, y) AS ayy, covar_pop(b, y) AS byy, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab,
+         avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM x JOIN k ON f <> k GROUP BY k),
+       w AS (SELECT *, (ayy * bb - byy * ab) / (aa * bb - ab * ab) AS wa, (byy * aa - ayy * ab) / (aa * bb - ab * ab) AS wb FROM c),
+       e AS (SELECT f, y, y - (my + wa * (a - ma) + wb * (b - mb)) AS e FROM x JOIN w ON f = k),
+       s AS (SELECT f, 1 - avg(e * e) / var_pop(y) AS r2, avg(abs(e)) AS mae FROM e GROUP BY f)
+       SELECT round(avg(r2), 8) AS r2, round(stddev_pop(r2), 8) AS r2_std, round(avg(mae), 4) AS mae FROM s""",
+)
 def _(spark, sf):
-    return learn.cv_scores(_lines(spark, sf), learn.linear(LABEL), NUMBERS[:2], LABEL, "row_key")
+    rows = table(spark, sf, "lineitem")
+    scores = learn.cv_scores(rows, learn.linear(LABEL), NUMBERS[:2], LABEL, "l_orderkey", fold=F.col("l_orderkey") % 5)
+    return _round(_round(scores, 8, "r2", "r2_std"), 4, "mae")
 
 
 @catalog.add("rf_cv")
 def _(spark, sf):
-    return _part_scores(spark, sf, lambda features: learn.random_forest("p_retailprice", trees=100))
+    return _part_scores(spark, sf, lambda features: learn.random_forest("p_retailprice", trees=40, depth=6))
 
 
 @catalog.add("gbt_cv")
 def _(spark, sf):
-    return _part_scores(spark, sf, lambda features: learn.boosting("p_retailprice", rounds=20))
+    return _part_scores(spark, sf, lambda features: learn.boosting("p_retailprice", rounds=10))
 
 
 @catalog.add("poly_cv")
@@ -149,6 +161,21 @@ def _(spark, sf):
     return learn.cv_scores(_lines(spark, sf), learn.poly2(LABEL), NUMBERS, LABEL, "row_key")
 
 
+_ALPHAS = [0.01, 1.0, 100.0, 10000.0]
+
+
+@catalog.add(
+    "ridge_grid_line",
+    f"""WITH m AS (SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sx, avg(l_extendedprice) AS my, count(*) AS n FROM lineitem),
+        z AS (SELECT (l_quantity - mx) / sx AS z, l_extendedprice - my AS y, n FROM lineitem, m),
+        a AS (SELECT unnest({_ALPHAS}::DOUBLE[]) AS alpha), w AS (SELECT alpha, sum(z * y) / (max(n) + alpha) AS w FROM z, a GROUP BY alpha)
+        SELECT alpha, round(avg(pow((y - w * z) / (1 - 1.0::DOUBLE / n - z * z / (n + alpha)), 2)), 2) AS loo_mse, count(*) AS n
+        FROM z, w GROUP BY alpha""",
+)
+def _(spark, sf):
+    return _round(learn.ridge_grid(table(spark, sf, "lineitem"), ["l_quantity"], LABEL, _ALPHAS), 2, "loo_mse")
+
+
 @catalog.add("ridge_grid")
 def _(spark, sf):
     return learn.ridge_grid(table(spark, sf, "lineitem"), NUMBERS, LABEL, learn.log_spaced(-3, 3, 20))

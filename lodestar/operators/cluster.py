@@ -59,10 +59,15 @@ def kmeans_sweep(pts: DataFrame, ks: Sequence[int], seeds: int = 10, silhouettes
 
 
 def gmm(pts: DataFrame, k: int, seeds: int = 5, seed: int = 42) -> GaussianMixtureModel:
-    """Best of several random starts by likelihood (a single start often ends in a poor optimum)."""
+    """Best of several random starts by likelihood (a single start often ends in a poor optimum).
+
+    The library stops on the change of the total likelihood, so the tolerance is stated per row:
+    otherwise no large table would ever meet it.
+    """
     data = with_vector(pts).persist()
     try:
-        models = [GaussianMixture(k=k, seed=seed + i, maxIter=100).fit(data) for i in range(seeds)]
+        tol = 1e-3 * max(1, data.count())
+        models = [GaussianMixture(k=k, seed=seed + i, maxIter=100, tol=tol).fit(data) for i in range(seeds)]
     finally:
         data.unpersist()
     return max(models, key=lambda m: m.summary.logLikelihood)

@@ -162,7 +162,7 @@ def ridge_grid(df: DataFrame, features: Sequence[str], label: str, alphas: Seque
             yield pd.DataFrame({"alpha": list(alphas), "sse": errors})
 
     squares = df.select(*cols).mapInPandas(left_out, "alpha double, sse double").groupBy("alpha")
-    return squares.agg((F.sum("sse") / n).alias("loo_mse")).withColumn("n", F.lit(n))
+    return squares.agg((F.sum("sse") / n).alias("loo_mse")).withColumn("n", F.lit(n).cast("long"))
 
 
 # --- evaluation -----------------------------------------------------------------------------
@@ -185,17 +185,20 @@ def test_metrics(pred: DataFrame, label: str) -> DataFrame:
 test_metrics.__test__ = False  # not a test case, whatever its name
 
 
-def cv_scores(df: DataFrame, fit: Fit, features: Sequence[str], label: str, key: str, k: int = 5) -> DataFrame:
+def cv_scores(
+    df: DataFrame, fit: Fit, features: Sequence[str], label: str, key: str, k: int = 5, fold: Column | None = None
+) -> DataFrame:
     """k-fold cross-validation: mean and std (over folds) of R², mean of the absolute error.
 
-    The assembled frame is kept for the k fits, because learners read it many times; all
+    Folds come from a hash of ``key`` unless an own ``fold`` expression (0..k-1) is given. The assembled frame is kept for the k fits, because learners read it many times; all
     held-out predictions are then scored in one aggregate.
     """
-    data = folds(assemble(df.select(key, *features, label), features), key, k).persist()
+    numbered = df.withColumn("fold", fold_of(key, k) if fold is None else fold.cast("int"))
+    data = assemble(numbered.select("fold", *features, label), features).persist()
     try:
         scored = None
-        for fold in range(k):
-            train, test = split(data, F.col("fold") == fold)
+        for held_out in range(k):
+            train, test = split(data, F.col("fold") == held_out)
             part = fit(train).transform(test).select("fold", label, "prediction")
             scored = part if scored is None else scored.unionByName(part)
         per_fold = scored.groupBy("fold").agg(*metrics(label))
