@@ -137,7 +137,9 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence[str], margins: bool
     df = _both_known(df, a, b)
     if not margins:
         return df.groupBy(a).pivot(b, list(values)).agg(F.count(F.lit(1))).fillna(0)
-    cubed = df.cube(a, b).agg(F.count(F.lit(1)).alias("_n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb"))
+    # The cube expands every row to four, so it runs over the cells.
+    cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("_c"))
+    cubed = cells.cube(a, b).agg(F.sum("_c").alias("_n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb"))
     named = cubed.select(
         F.when(F.col("_ga") == 1, "Sum").otherwise(F.col(a)).alias(a),
         F.when(F.col("_gb") == 1, "Sum").otherwise(F.col(b)).alias("_b"),

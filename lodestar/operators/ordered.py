@@ -20,6 +20,12 @@ from lodestar.session import cut, sent_if_small
 _SLICE_BITS = 33
 _POSITION_MASK = (1 << _SLICE_BITS) - 1
 
+#: Up to this many distinct (group, value) pairs, quantiles come from the table of value counts.
+DIRECT_VALUES = 1_000_000
+
+#: Rank error of a quantile sketch is one part in this many.
+SKETCH_ACCURACY = 10_000
+
 
 def _as_columns(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -113,23 +119,79 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def quantile_exprs(value: str, probs: Sequence[float], out: Sequence[str]) -> list[Column]:
-    """Aggregates over a ``value_ranks`` table: exact quantiles with linear interpolation.
+def _at_ranks(x: Column, upto: Column, total: Column, p: float, where: Column | None = None) -> Column:
+    """Aggregate: the value at rank h = (total-1)·p, linear between whole ranks.
+
+    The value at a whole rank r is the smallest one whose cumulative count exceeds r; ``min`` of
+    a case expression finds it with map-side combining, so nothing is collected.
+    """
+    rank = (total - 1) * F.lit(float(p))
+    known = F.lit(True) if where is None else where
+    low = F.min(F.when(known & (upto > F.floor(rank)), x))
+    high = F.min(F.when(known & (upto > F.ceil(rank)), x))
+    return low + (high - low) * F.max(rank - F.floor(rank))
+
+
+def quantile_columns(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles as one named column each, one row per group.
 
-    The rank of probability p is h = (total-1)·p; the value at a whole rank r is the smallest
-    value whose cumulative count exceeds r. ``min`` of a case expression finds it with map-side
-    combining, so nothing is collected.
+    A column with few distinct values is reduced to its value counts, which are ranked. One with
+    many is not sorted at all: a sketch brackets every quantile within a narrow value window,
+    a second pass counts what lies below each window, and only the rows inside (some hundredths
+    of a percent) are ranked. Should a window ever miss its quantile, the first way is taken.
     """
-    x = F.col(value).cast("double")
+    by = list(by)
+    data = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
+    distinct = data.agg(F.approx_count_distinct(F.struct(*by, "_x"))).first()[0]
+    if distinct > DIRECT_VALUES:
+        narrowed = _narrowed(data, probs, by)
+        if narrowed is not None:
+            return narrowed
+    ranks = value_ranks(data, "_x", by)
     upto = F.col("below") + F.col("n")
-    columns = []
-    for p, name in zip(probs, out):
-        rank = (F.col("total") - 1) * F.lit(float(p))
-        low = F.min(F.when(upto > F.floor(rank), x))
-        high = F.min(F.when(upto > F.ceil(rank), x))
-        part = F.max(rank - F.floor(rank))
-        columns.append((low + (high - low) * part).alias(name))
-    return columns
+    return ranks.groupBy(*by).agg(*[_at_ranks(F.col("_x"), upto, F.col("total"), p).alias(c) for c, p in probs.items()])
+
+
+def _attach(data: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the columns of a table with one row per group (one row without groups)."""
+    extra = [c for c in small.columns if c not in by]
+    if not by:
+        row = small.select(F.struct(*extra)).scalar()
+        return data.withColumns({c: row[c] for c in extra})
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]
+    return data.alias("d").join(sent_if_small(small).alias("m"), same).select("d.*", *[f"m.{c}" for c in extra])
+
+
+def _narrowed(data: DataFrame, probs: dict[str, float], by: list[str]) -> DataFrame | None:
+    """:func:`quantile_columns` through value windows; None when a window misses its quantile."""
+    margin = 2 / SKETCH_ACCURACY
+    marks = [v for p in probs.values() for v in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = data.groupBy(*by).agg(F.percentile_approx("_x", F.array(*[F.lit(v) for v in marks]), F.lit(SKETCH_ACCURACY)).alias("_m"))
+    windows = [
+        F.struct(F.lit(i).alias("i"), F.col("_m")[2 * i].alias("lo"), F.col("_m")[2 * i + 1].alias("hi"))
+        for i in range(len(probs))
+    ]
+    placed = _attach(data, sketch.select(*by, F.array(*windows).alias("_w")), by)
+    x = F.col("_x")
+    counts = [F.count(F.lit(1)).alias("_all")]
+    for i in range(len(probs)):
+        counts.append(F.sum((x < F.col("_w")[i]["lo"]).cast("long")).alias(f"_b{i}"))
+        counts.append(F.sum((x <= F.col("_w")[i]["hi"]).cast("long")).alias(f"_u{i}"))
+    bounds = cut(placed.groupBy(*by).agg(*counts))
+    held = F.lit(True)
+    for i, p in enumerate(probs.values()):
+        rank = (F.col("_all") - 1) * F.lit(float(p))
+        held = held & (F.col(f"_b{i}") <= F.floor(rank)) & (F.col(f"_u{i}") > F.ceil(rank))
+    if not bounds.filter(~held).isEmpty():
+        return None
+    inside = F.explode(F.filter("_w", lambda w: x.between(w["lo"], w["hi"])))
+    near = placed.select(*by, "_x", inside.alias("_e")).select(*by, "_x", F.col("_e.i").alias("_win"))
+    ranks = _attach(value_ranks(near, "_x", [*by, "_win"]), bounds, by)
+    aggs = []
+    for i, (name, p) in enumerate(probs.items()):
+        upto = F.col(f"_b{i}") + F.col("below") + F.col("n")
+        aggs.append(_at_ranks(x, upto, F.col("_all"), p, F.col("_win") == i).alias(name))
+    return ranks.groupBy(*by).agg(*aggs)
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), approx: bool = False) -> DataFrame:
@@ -137,9 +199,9 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     by = list(by)
     names = [f"_q{i}" for i in range(len(probs))]
     if approx:
-        aggs = [F.percentile_approx(value, float(p), 10000).cast("double").alias(c) for p, c in zip(probs, names)]
+        aggs = [F.percentile_approx(value, float(p), SKETCH_ACCURACY).cast("double").alias(c) for p, c in zip(probs, names)]
         wide = df.groupBy(*by).agg(*aggs)
     else:
-        wide = value_ranks(df, value, by).groupBy(*by).agg(*quantile_exprs(value, probs, names))
+        wide = quantile_columns(df, value, dict(zip(names, probs)), by)
     pairs = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.col(c).alias("q")) for p, c in zip(probs, names)])
     return wide.select(*by, F.inline(pairs))

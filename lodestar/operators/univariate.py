@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.ordered import prefix_sum, quantile_exprs, quantiles, value_ranks
+from lodestar.operators.ordered import prefix_sum, quantile_columns
 from lodestar.operators.project import unpivot_row
 from lodestar.session import sent_if_small
 
-QUARTILES = (0.25, 0.5, 0.75)
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def freq_table(df: DataFrame, col: str) -> DataFrame:
@@ -27,33 +27,26 @@ def modes(df: DataFrame, col: str) -> DataFrame:
     return counts.filter(F.col("n") == counts.agg(F.max("n")).scalar())
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value) pairs, so one pass serves every column."""
-    return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
-
-
 def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per column: count, mean, std (n-1), min, exact quartiles, max."""
-    long = _long(df, cols).filter("value is not null")
-    base = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    marks = value_ranks(long, "value", ["column"]).groupBy("column").agg(
-        *quantile_exprs("value", QUARTILES, ["q1", "median", "q3"])
-    )
+    """One row per column: count, mean, std (n-1), min, exact quartiles, max.
+
+    One pass gives the moments of every column, the quartiles share another set of passes over
+    (column, value) pairs.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = numbers.agg(*[F.struct(*[f(c).alias(m) for m, f in measures.items()]).alias(c) for c in cols])
+    base = row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in cols])))
+    long = numbers.unpivot([], list(cols), "column", "value")
+    marks = quantile_columns(long, "value", QUARTILES, ["column"])
     return base.join(marks, "column").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def spread(df: DataFrame, col: str) -> DataFrame:
-    """Range and inter-quartile range from one rank table."""
-    return value_ranks(df, col).agg(
-        (F.max(col) - F.min(col)).cast("double").alias("range"),
-        *quantile_exprs(col, (0.25, 0.75), ["q1", "q3"]),
-    ).select("range", (F.col("q3") - F.col("q1")).alias("iqr"))
+    """Range and inter-quartile range."""
+    ends = df.agg((F.max(col) - F.min(col)).cast("double")).scalar()
+    marks = quantile_columns(df, col, {"q1": 0.25, "q3": 0.75})
+    return marks.select(ends.alias("range"), (F.col("q3") - F.col("q1")).alias("iqr"))
 
 
 def variances(df: DataFrame, col: str) -> DataFrame:
@@ -169,42 +162,34 @@ def expand_classes(hist: DataFrame, value: str = "mid", weight: str = "n") -> Da
     )
 
 
-def _fences(df: DataFrame, col: str, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rank table per group and its quartiles with the 1.5·IQR fences."""
-    ranks = value_ranks(df, col, by)
-    marks = ranks.groupBy(*by).agg(*quantile_exprs(col, QUARTILES, ["q1", "median", "q3"]))
+def _fenced(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
+    """Rows with the quartiles of their group and the fences 1.5·IQR outside of them."""
+    marks = quantile_columns(df, col, QUARTILES, by)
     iqr = F.col("q3") - F.col("q1")
     fences = marks.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
-    return ranks, sent_if_small(fences)
+    return df.filter(F.col(col).isNotNull()).join(sent_if_small(fences), list(by))
 
 
 def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers inside the fences and outlier count, with the group in every row."""
-    by = list(by)
-    ranks, marks = _fences(df, col, by)
     x = F.col(col).cast("double")
     inside = x.between(F.col("_lo"), F.col("_hi"))
     return (
-        ranks.join(marks, by)
+        _fenced(df.select(*by, col), col, by)
         .groupBy(*by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),
             F.max(F.when(inside, x)).alias("whisker_high"),
-            F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("outliers"),
-            F.sum("n").alias("n"),
+            F.sum((~inside).cast("long")).alias("outliers"),
+            F.count(F.lit(1)).alias("n"),
         )
     )
 
 
 def boxplot_outliers(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Rows outside the whisker fences of their group."""
-    by = list(by)
-    _, marks = _fences(df, col, by)
-    return (
-        df.join(marks, by)
-        .filter(~F.col(col).cast("double").between(F.col("_lo"), F.col("_hi")))
-        .select(*df.columns)
-    )
+    outside = ~F.col(col).cast("double").between(F.col("_lo"), F.col("_hi"))
+    return _fenced(df, col, by).filter(outside).select(*df.columns)
 
 
 def column_scales(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -53,9 +53,9 @@ def previous_value(
     at most rows / ``hot_rows`` hot keys, so their list is small.
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = sent_if_small(sizes.select(F.col(key).alias("_hot")))
-    marked = df.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_b", F.when(F.col("_hot").isNotNull(), bucket))
-    marked = marked.drop("_hot")
+    hot = sent_if_small(sizes.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
+    marked = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn("_b", F.when(F.col("_is_hot"), bucket))
+    marked = marked.drop("_hot", "_is_hot")
     inside = Window.partitionBy(key, "_b").orderBy(*order)
     rows = marked.withColumn("_in", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
     split = marked.filter("_b is not null")
@@ -64,7 +64,7 @@ def previous_value(
         F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.lag("_end").over(Window.partitionBy(key).orderBy("_b")).alias("_carry")
     ).filter("_carry is not null")
     return (
-        rows.join(carried, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
+        rows.join(carried, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
         .withColumn(out, F.coalesce("_in", "_carry")["v"])
         .select(*df.columns, out)
     )

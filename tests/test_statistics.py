@@ -18,7 +18,11 @@ def data(spark):
     return spark.createDataFrame(rows, "x double, y double, g string").cache(), x, y, g
 
 
-def test_quantiles(data):
+@pytest.mark.parametrize("direct, accuracy", [(10**6, 10_000), (0, 10_000), (0, 50), (0, 3)])
+def test_quantiles(data, monkeypatch, direct, accuracy):
+    """The table of counts, the narrow windows, and windows too coarse to be trusted agree."""
+    monkeypatch.setattr(ordered, "DIRECT_VALUES", direct)
+    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", accuracy)
     df, x, y, g = data
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     rows = {r["p"]: r["q"] for r in ordered.quantiles(df, "y", probs).collect()}
