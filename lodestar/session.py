@@ -21,8 +21,6 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    "spark.checkpoint.compress": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -64,9 +62,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from there (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and continue from there.
+
+    The table survives the loss of executors, is read by column, and brings its true size to the
+    optimizer. Unlike a checkpoint it also forgets the plan's inferred constraints, which in a
+    loop of joins would double with every round.
+    """
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sent_if_small(df: DataFrame) -> DataFrame:
