@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import exact, fingerprints, substrings
+from lodestar.llm import exact, fingerprints, sharding, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,6 +53,70 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), width=35)
 
 
+URL_RULES = [
+    urls.Rule("allow", "com/"),
+    urls.Rule("block", "example.com/en/"),
+    urls.Rule("allow", "www.example.com/en/"),
+    urls.Rule("block", "net/es/"),
+    urls.Rule("block", "net/fr/"),
+]
+
+
+@_query(
+    "op2_url_filter",
+    r"""
+    WITH RECURSIVE rules(pattern, rule_host, rule_path, action) AS (
+        VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+               ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+               ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
+    ), parts AS (
+        SELECT page_id, html,
+               translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*(\?[^#]*)', 1) AS query
+        FROM (SELECT *, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+    ), stated AS (
+        SELECT host, path, host || path || query AS src, replace(target, '&amp;', '&') AS target
+        FROM (SELECT *, unnest([
+            regexp_extract(regexp_extract(html, '(?is)<link[^>]*rel\s*=\s*["'']?canonical[^>]*>'), '(?is)href\s*=\s*["'']?([^"''\s>]+)', 1),
+            regexp_extract(regexp_extract(html, '(?is)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>'), '(?is)url\s*=\s*["'']?([^"''\s>]+)', 1)
+        ]) AS target FROM parts WHERE host <> '')
+        WHERE target <> ''
+    ), resolved AS (
+        SELECT src, CASE WHEN strpos(target, '://') > 0 THEN target WHEN starts_with(target, '//') THEN 'http:' || target
+                         WHEN starts_with(target, '/') THEN 'http://' || host || target
+                         ELSE 'http://' || host || CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '^(.*/)', 1) ELSE '/' END || target END AS dst
+        FROM stated
+    ), links AS (
+        SELECT src, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                    || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) || regexp_extract(dst, '^[^?#]*(\?[^#]*)', 1) AS dst
+        FROM (SELECT *, substr(dst, strpos(dst, '://') + 3) AS rest FROM resolved)
+    ), both_ways AS (
+        SELECT src, dst FROM links UNION SELECT dst, src FROM links
+    ), reach(id, other) AS (
+        SELECT src, src FROM both_ways UNION SELECT id, dst FROM reach JOIN both_ways ON other = src
+    ), fits AS (
+        SELECT node, pattern, action, length(pattern) AS size FROM (
+            SELECT DISTINCT node, regexp_extract(node, '^[^/?#]*') AS host, regexp_extract(node, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM (SELECT host || path || query AS node FROM parts WHERE host <> '' UNION SELECT src FROM both_ways)
+        ) JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    ), ruled AS (
+        SELECT node, arg_max(pattern, size) AS rule, arg_max(action, size) AS action FROM fits GROUP BY node
+    ), decided AS (
+        SELECT id, min(action) AS decided FROM reach JOIN ruled ON other = node GROUP BY id
+    )
+    SELECT page_id, host, path, rule, coalesce(action, decided, 'allow') AS verdict
+    FROM parts LEFT JOIN ruled ON node = host || path || query LEFT JOIN decided ON id = host || path || query
+    """,
+)
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_bytes(_table(spark, sf_dir, "documents"), shards=16)
+
+
 @_query(
     "op8_exact_dedup",
     """

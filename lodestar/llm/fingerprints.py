@@ -10,14 +10,14 @@ their number, estimates the size of the difference of two multisets of paragraph
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.ranks import cuts_at_or_below
 from lodestar.llm.text import flat, names, seeded, slices
 
 WIDE, THIN = 4, 128
@@ -107,17 +107,6 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_chars long, fingerprint string")
 
 
-def _cuts_above(cuts: list[int]) -> Column:
-    """Number of the (descending) cuts above the id ``o``: whole groups first, then inside one group."""
-    if not cuts:
-        return F.lit(0)
-    width = math.isqrt(len(cuts)) + 1
-    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-    full = F.size(F.filter(F.array(*(F.lit(g[-1]) for g in groups)), lambda c: F.col("o") < c))
-    inside = F.get(F.lit(groups).cast("array<array<bigint>>"), full)
-    return F.when(full == len(groups), F.lit(len(cuts))).otherwise(full * width + F.size(F.filter(inside, lambda c: F.col("o") < c)))
-
-
 def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Rows in descending id order within ranges of ids, each range followed by the first row of the next.
 
@@ -130,7 +119,8 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = ids.agg(F.percentile_approx("o", [i / ranges for i in range(1, ranges)] or [0.5], 10000)).first()[0] or []
     cuts = sorted(set(cuts), reverse=True) if ranges > 1 else []
-    place = _cuts_above(cuts)
+    # Ids descend (and their complements ascend), so the range is the number of cuts above the id.
+    place = cuts_at_or_below(F.bitwise_not("o"), [F.lit(~c) for c in cuts])
     heads = {r["r"]: r["h"] for r in ids.groupBy(place.alias("r")).agg(F.max("o").alias("h")).collect()}
     order = sorted(heads)
     before = {heads[r]: order[i - 1] for i, r in enumerate(order)}  # the first one's is the last range
