@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import exact, fingerprints, sharding, substrings, urls
+from lodestar.llm import exact, fingerprints, near, sharding, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -135,3 +135,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_fingerprints")
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
