@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import exact, fingerprints, near, sharding, substrings, urls
+from lodestar.llm import exact, fingerprints, near, quality, sharding, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,13 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_near_dedup")
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@_query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), modulus=3, remainder=1, threshold=0.7)
+
+
+@_query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), modulus=5, remainder=0, threshold=0.3)
