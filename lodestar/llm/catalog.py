@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import exact, fingerprints, near, quality, sharding, substrings, toxicity, urls
+from lodestar.llm import exact, fingerprints, mixing, near, pieces, quality, sharding, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -150,3 +150,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), modulus=5, remainder=0, threshold=0.3)
+
+
+@_query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(_table(spark, sf_dir, "documents"), flatten=0.5, max_epochs=4.0).drop("tie")
+
+
+@_query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), pieces.Vocabulary.load(pieces.MODEL_FILE))
