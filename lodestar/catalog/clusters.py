@@ -112,7 +112,7 @@ def _(spark, sf):
 
 @catalog.add("kmeans_sweep")
 def _(spark, sf):
-    return cluster.kmeans_sweep(_embeddings(spark, sf), range(2, 9), seeds=2)
+    return cluster.kmeans_sweep(_embeddings(spark, sf), range(2, 9))
 
 
 @catalog.add("ward_micro")
@@ -123,12 +123,12 @@ def _(spark, sf):
 @catalog.add("gmm")
 def _(spark, sf):
     pts = _parts(spark, sf)
-    return cluster.cluster_sizes(cluster.kmeans_labels(pts, cluster.gmm(pts, 3, seeds=3)), "cluster")
+    return cluster.cluster_sizes(cluster.kmeans_labels(pts, cluster.gmm(pts, 3)), "cluster")
 
 
 @catalog.add("gmm_bic")
 def _(spark, sf):
-    return cluster.gmm_bic(_parts(spark, sf), range(2, 6), seeds=2)
+    return cluster.gmm_bic(_parts(spark, sf), range(2, 6))
 
 
 @catalog.add("pca2")
@@ -169,14 +169,15 @@ def _(spark, sf):
 
 @catalog.add("method_table")
 def _(spark, sf):
-    """K-means, Ward and mixture (on two components) against the true labels."""
+    """K-means, Ward, mixture (on two components) and density clustering against the true labels."""
     pts = _embeddings(spark, sf)
     flat = cluster.pca2(pts).select("id", "label", F.array("pc1", "pc2").alias("x"))
     return cluster.compare_methods(
         {
-            "k-means": cluster.kmeans_labels(pts, cluster.kmeans(pts, 10, seeds=2)),
+            "k-means": cluster.kmeans_labels(pts, cluster.kmeans(pts, 10)),
             "ward": cluster.ward(pts, 10),
-            "mixture": cluster.kmeans_labels(flat, cluster.gmm(flat, 10, seeds=2)),
+            "mixture": cluster.kmeans_labels(flat, cluster.gmm(flat, 10)),
+            "density": dbscan.dbscan(pts, WIDE_EPS, WIDE_MIN_SAMPLES, 64),
         },
         "cluster",
         "label",

@@ -223,11 +223,18 @@ def _(spark, sf):
 
 @catalog.add(
     "decode_json_damaged",
-    "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events WHERE event_type <> 'error'",
+    """SELECT event_id, CASE WHEN event_type NOT IN ('signup', 'click') THEN CAST(props->>'$.k' AS INTEGER) END AS k
+       FROM events WHERE event_type <> 'error'""",
 )
 def _(spark, sf):
-    # Error events carry half a document; the policy drops them instead of forming a null group.
-    half = F.when(F.col("event_type") == "error", F.lit('{"k": ')).otherwise(F.col("props"))
+    # Error events carry half a document; the policy drops them instead of forming a null group. An
+    # empty document and one with other fields only are whole and stay.
+    half = (
+        F.when(F.col("event_type") == "error", F.lit('{"k": '))
+        .when(F.col("event_type") == "signup", F.lit("{}"))
+        .when(F.col("event_type") == "click", F.lit('{"other": 1}'))
+        .otherwise(F.col("props"))
+    )
     rows = table(spark, sf, "events").select("event_id", half.alias("props"))
     return decode.decode_json(rows, "props", "k INT", drop_malformed=True)
 

@@ -13,6 +13,9 @@ catalog = Catalog()
 LABEL = "l_extendedprice"
 NUMBERS = ["l_quantity", "l_discount", "l_tax"]
 
+FLAGS = {"l_returnflag": ["A", "N", "R"], "l_linestatus": ["F", "O"]}
+TYPES = {"p_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}
+
 
 def _round(df, digits, *cols):
     return df.withColumns({c: F.round(c, digits) for c in cols})
@@ -25,7 +28,7 @@ def _lines(spark, sf):
 def _parts(spark, sf):
     """Parts as features: size and dummies of type; the price is the label."""
     frame = table(spark, sf, "part").select("p_partkey", "p_size", "p_type", "p_retailprice")
-    encoded = learn.dummies(frame, ["p_type"])
+    encoded = learn.dummies(frame, TYPES)
     features = [c for c in encoded.columns if c not in ("p_partkey", "p_retailprice")]
     return encoded, features
 
@@ -43,7 +46,7 @@ def _part_scores(spark, sf, fit_for):
 )
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    return learn.dummies(rows, ["l_returnflag", "l_linestatus"])
+    return learn.dummies(rows, FLAGS)
 
 
 @catalog.add(
@@ -195,7 +198,7 @@ def _(spark, sf):
 @catalog.add("model_table")
 def _(spark, sf):
     """Nested feature sets, then the penalised and the polynomial model, as one ranking."""
-    coded = learn.dummies(_lines(spark, sf).select("row_key", *NUMBERS, "l_returnflag", "l_linestatus", LABEL), ["l_returnflag", "l_linestatus"])
+    coded = learn.dummies(_lines(spark, sf).select("row_key", *NUMBERS, "l_returnflag", "l_linestatus", LABEL), FLAGS)
     every = [c for c in coded.columns if c not in ("row_key", LABEL)]
     score = lambda fit, features: learn.cv_scores(coded, fit, features, LABEL, "row_key")
     return learn.model_table(
@@ -212,7 +215,7 @@ def _(spark, sf):
 
 @catalog.add("coef_table")
 def _(spark, sf):
-    coded = learn.dummies(table(spark, sf, "lineitem").select(*NUMBERS, "l_returnflag", "l_linestatus", LABEL), ["l_returnflag", "l_linestatus"])
+    coded = learn.dummies(table(spark, sf, "lineitem").select(*NUMBERS, "l_returnflag", "l_linestatus", LABEL), FLAGS)
     features = [c for c in coded.columns if c != LABEL]
     return learn.coef_table(coded, learn.linear(LABEL)(learn.assemble(coded, features)), features)
 

@@ -74,6 +74,47 @@ def _(spark, sf):
     return _round(uni.describe_table(table(spark, sf, "lineitem"), _MEASURES), 5, "mean", "std", "q1", "median", "q3")
 
 
+@catalog.add(
+    "describe_with_gaps",
+    """WITH e AS (SELECT CASE WHEN event_type <> 'error' THEN value END AS value, CAST(NULL AS DOUBLE) AS nothing FROM events)
+       SELECT 'value' AS "column", count(value) AS count, round(avg(value), 5) AS mean, round(stddev_samp(value), 5) AS std, min(value) AS min,
+         round(quantile_cont(value, 0.25), 5) AS q1, round(quantile_cont(value, 0.5), 5) AS median, round(quantile_cont(value, 0.75), 5) AS q3,
+         max(value) AS max FROM e
+       UNION ALL SELECT 'nothing', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+)
+def _(spark, sf):
+    value = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    gaps = table(spark, sf, "events").select(value, F.lit(None).cast("double").alias("nothing"))
+    return _round(uni.describe_table(gaps, ["value", "nothing"]), 5, "mean", "std", "q1", "median", "q3")
+
+
+@catalog.add(
+    "describe_text",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count, count(DISTINCT {c}) AS "distinct", min({c}) AS min, max({c}) AS max,
+            CAST(min(length({c})) AS INTEGER) AS min_length, CAST(max(length({c})) AS INTEGER) AS max_length FROM customer"""
+        for c in ("c_name", "c_mktsegment")
+    ),
+)
+def _(spark, sf):
+    return uni.describe_text(table(spark, sf, "customer"), ["c_name", "c_mktsegment"])
+
+
+@catalog.add(
+    "boxplot_null_group",
+    """WITH e AS (SELECT CASE WHEN event_type <> 'error' THEN event_type END AS kind, value FROM events),
+         q AS (SELECT kind, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM e GROUP BY kind)
+       SELECT e.kind, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
+         min(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_low,
+         max(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_high,
+         count(*) FILTER (value NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers, count(*) AS n
+       FROM e JOIN q ON e.kind IS NOT DISTINCT FROM q.kind GROUP BY e.kind, q1, median, q3""",
+)
+def _(spark, sf):
+    kind = F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind")
+    return _round(uni.boxplot_stats(table(spark, sf, "events").select(kind, "value"), "value", ["kind"]), 4, "q1", "median", "q3")
+
+
 @catalog.add(
     "spread",
     "SELECT round(max(value) - min(value), 4) AS range, round(quantile_cont(value, 0.75) - quantile_cont(value, 0.25), 4) AS iqr FROM events",

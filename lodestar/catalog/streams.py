@@ -169,26 +169,6 @@ def _(spark, sf):
     return sinks.read_latest(spark, target, ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
-@catalog.add(
-    "partition_balance",
-    """WITH p AS (SELECT CAST(user_id % 3 AS INTEGER) AS "partition", count(*) AS rows FROM events GROUP BY 1)
-       SELECT *, round((SELECT max(rows) / avg(rows) FROM p), 6) AS skew FROM p""",
-)
-def _(spark, sf):
-    balance = jobs.partition_balance(table(spark, sf, "events"), (F.col("user_id") % 3).cast("int"))
-    return balance.withColumn("skew", F.round("skew", 6))
-
-
-@catalog.add("partition_balance_keyed")
-def _(spark, sf):
-    return jobs.partition_balance(table(spark, sf, "events"), jobs.keyed("user_id", 3))
-
-
-@catalog.add("partition_balance_unkeyed")
-def _(spark, sf):
-    return jobs.partition_balance(table(spark, sf, "events"), jobs.unkeyed(3))
-
-
 @catalog.add(
     "reader_lag",
     """WITH e AS (SELECT CAST(user_id % 3 AS INTEGER) AS "partition", max(event_id) + 1 AS end_offset,
@@ -203,8 +183,3 @@ def _(spark, sf):
     seen = seen.filter("event_type = 'signup' AND partition < 2")
     positions = seen.groupBy("partition").agg((F.max("offset") + 1).alias("position"))
     return jobs.reader_lag(ends, positions)
-
-
-@catalog.add("task_assignment")
-def _(spark, sf):
-    return jobs.task_assignment(table(spark, sf, "events"))

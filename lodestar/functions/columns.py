@@ -41,15 +41,3 @@ def money(x: Column) -> Column:
 def percent(flag: Column) -> Column:
     """Share of true among the non-null flags, as a whole percentage."""
     return F.round(F.avg(flag.cast("int")) * 100).cast("int")
-
-
-def squared_norm(vector: Column) -> Column:
-    return F.aggregate(vector, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
-
-
-def squared_distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    """Squared Euclidean distance of two points given as column lists."""
-    total = F.lit(0.0)
-    for x, y in zip(a, b):
-        total = total + (x - y) * (x - y)
-    return total

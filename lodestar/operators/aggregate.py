@@ -11,9 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestar.functions.columns import money, percent, position_of
+from lodestar.operators.ordered import number_records
 
 
 def excess_count(df: DataFrame, key: str, value: str, limit: float) -> DataFrame:
@@ -102,13 +102,15 @@ def max_having(df: DataFrame, key: str, col: str, limit: float) -> DataFrame:
 def functional_ranges(df: DataFrame, label: str, value: str) -> DataFrame:
     """Value range per label, and whether it stays below the next label's range.
 
-    The window runs over one row per label, after the aggregate.
+    The ranges are numbered in their order, without a window over all labels, and meet their successor by number.
     """
     ranges = df.groupBy(label).agg(
         F.min(value).alias("low"), F.max(value).alias("high"), F.count(F.lit(1)).alias("n")
     )
-    following = F.lead("low").over(Window.orderBy("low", "high", label))
-    return ranges.withColumn("overlaps_next", F.coalesce(following <= F.col("high"), F.lit(False)))
+    numbered = number_records(ranges, ["low", "high", label], "_rank")
+    after = numbered.select((F.col("_rank") - 1).alias("_rank"), F.col("low").alias("_next"))
+    overlaps = F.coalesce(F.col("_next") <= F.col("high"), F.lit(False))
+    return numbered.join(after, "_rank", "left").select(label, "low", "high", "n", overlaps.alias("overlaps_next"))
 
 
 def counter(df: DataFrame, key: str, out: str = "n") -> DataFrame:
@@ -151,13 +153,13 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence[str], margins: bool
 def frequencies(df: DataFrame, a: str, b: str) -> DataFrame:
     """Long contingency table with joint, marginal and both conditional frequencies.
 
-    The windows run over the reduced table (levels of a × levels of b).
+    The margins are aggregates of the reduced table (levels of a × levels of b), joined back.
     """
     cells = _both_known(df, a, b).groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     total = cells.agg(F.sum("n")).scalar()
-    n_a = F.sum("n").over(Window.partitionBy(a))
-    n_b = F.sum("n").over(Window.partitionBy(b))
-    return cells.select(
+    n_a, n_b = F.col("_na"), F.col("_nb")
+    margins = cells.join(cells.groupBy(a).agg(F.sum("n").alias("_na")), a).join(cells.groupBy(b).agg(F.sum("n").alias("_nb")), b)
+    return margins.select(
         a,
         b,
         "n",

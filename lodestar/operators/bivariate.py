@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
@@ -9,7 +10,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestar.functions.pvalues import chi2_tail, t_two_sided
 from lodestar.operators.univariate import freq_table
@@ -36,45 +36,59 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], target: str | None = None) -
     return long.orderBy(F.desc("r"), "y") if target else long
 
 
-def _expected(df: DataFrame, a: str, b: str) -> DataFrame:
-    """All level pairs (also the empty ones) with observed and expected counts.
-
-    Works on the contingency table, whose size is levels × levels. Empty cells come from
-    pairing every row level with the list of column levels.
-    """
+def _cells(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Non-empty cells of the contingency table with both margins ``n_a`` and ``n_b``."""
     known = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = known.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    levels = cells.agg(F.sort_array(F.collect_set(b))).scalar()
-    grid = cells.select(a).distinct().select(a, F.explode(levels).alias(b))
-    full = grid.join(cells, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("observed"))
-    total = cells.agg(F.sum("n")).scalar()
-    n_a = F.sum("observed").over(Window.partitionBy(a)).cast("double")
-    n_b = F.sum("observed").over(Window.partitionBy(b))
-    return full.withColumn("expected", n_a * n_b / total)
+    cells = known.groupBy(a, b).agg(F.count(F.lit(1)).alias("observed"))
+    of_a = cells.groupBy(a).agg(F.sum("observed").alias("n_a"))
+    of_b = cells.groupBy(b).agg(F.sum("observed").alias("n_b"))
+    return cells.join(of_a, a).join(of_b, b)
 
 
 def expected_counts(df: DataFrame, a: str, b: str) -> DataFrame:
-    return _expected(df, a, b)
+    """All level pairs (also the empty ones) with observed and expected counts.
+
+    The result is levels x levels large: every row level is paired with the list of column levels. The tests
+    below do not need it.
+    """
+    cells = _cells(df, a, b)
+    total = cells.agg(F.sum("observed")).scalar()
+    columns = cells.select(b, "n_b").distinct().agg(F.sort_array(F.collect_list(F.struct(b, "n_b")))).scalar()
+    grid = cells.select(a, "n_a").distinct().select(a, "n_a", F.explode(columns).alias("_c")).select(a, F.col("_c")[b].alias(b), "n_a", F.col("_c.n_b").alias("n_b"))
+    observed = cells.select(a, b, "observed")
+    full = grid.join(observed, [a, b], "left")
+    expected = F.col("n_a").cast("double") * F.col("n_b") / total
+    return full.select(a, b, F.coalesce("observed", F.lit(0)).alias("observed"), expected.alias("expected"))
 
 
 def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
     """Statistic and degrees of freedom of the independence test.
 
-    With one degree of freedom the difference of each cell shrinks by at most one half
-    (continuity correction), as the usual library default does.
+    The statistic is the sum of observed^2 / expected over the non-empty cells, less the number of
+    rows. With one degree of freedom the difference of each cell shrinks by at most one half
+    (continuity correction), as the usual library default does; there it is the same in all four cells, and
+    the sum of 1 / expected follows from the margins.
     """
-    cells = _expected(df, a, b)
-    diff = F.abs(F.col("observed") - F.col("expected"))
-    corrected = diff - F.least(F.lit(0.5), diff)
-    plain = F.sum(diff * diff / F.col("expected"))
-    yates = F.sum(corrected * corrected / F.col("expected"))
+    cells = _cells(df, a, b)
+    n = F.col("observed").cast("double")
+    product = F.col("n_a").cast("double") * F.col("n_b")
+    total = F.sum(n)
+    margin = lambda c: cells.groupBy(c).agg(F.sum("observed").cast("double").alias("m")).agg(F.sum(1 / F.col("m")), F.count(F.lit(1)))
+    of_a, of_b = margin(a).toDF("inverse", "levels"), margin(b).toDF("inverse", "levels")
     sums = cells.agg(
-        plain.alias("plain"),
-        yates.alias("yates"),
-        ((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("dof"),
+        total.alias("total"),
+        F.sum(n * n / product).alias("ratio"),
+        # |observed - expected| of a cell is |n * total - product| / total; in a table of four all are equal.
+        F.max(F.struct(n.alias("n"), product.alias("p"))).alias("cell"),
     )
-    statistic = F.when(F.lit(correction) & (F.col("dof") == 1), F.col("yates")).otherwise(F.col("plain"))
-    return sums.select(statistic.alias("chi2"), "dof")
+    dof = ((of_a.select("levels").scalar() - 1) * (of_b.select("levels").scalar() - 1)).alias("dof")
+    inverse = of_a.select("inverse").scalar() * of_b.select("inverse").scalar()
+    row = sums.select("total", "ratio", "cell", dof, inverse.alias("inverse"))
+    plain = F.col("total") * F.col("ratio") - F.col("total")
+    diff = F.abs(F.col("cell.n") - F.col("cell.p") / F.col("total"))
+    shrunk = F.greatest(diff - 0.5, F.lit(0.0))
+    statistic = F.when(F.lit(correction) & (F.col("dof") == 1), shrunk * shrunk * F.col("total") * F.col("inverse")).otherwise(plain)
+    return row.select(statistic.alias("chi2"), "dof")
 
 
 def chi_square_test(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
@@ -135,24 +149,39 @@ def cond_weighted_mean(df: DataFrame, col: str, condition: Column) -> DataFrame:
     return table.agg(F.sum(F.col(col) * F.col("freq")).alias("mean"))
 
 
-# numpy draws exact hypergeometric counts below this population; larger ones use the normal limit.
-_EXACT_POPULATION = 1_000_000_000
+def _hypergeometric(rng: np.random.Generator, good: int, bad: int, size: int) -> int:
+    """Good items among ``size`` drawn from ``good + bad``: ratio of uniforms (Stadlober 1990), for any population."""
+    total = good + bad
+    few, many, drawn = min(good, bad), max(good, bad), min(size, total - size)
+    if few and drawn:
+        share = few / total
+        centre = drawn * share + 0.5
+        spread = math.sqrt((total - drawn) * drawn * share * (1 - share) / (total - 1) + 0.5)
+        width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+        mode = (drawn + 1) * (few + 1) // (total + 2)
+        height = lambda k: math.lgamma(k + 1) + math.lgamma(few - k + 1) + math.lgamma(drawn - k + 1) + math.lgamma(many - drawn + k + 1)
+        top = height(mode)
+        end = min(drawn, few) + 1
+        while True:
+            u, v = rng.random(), rng.random()
+            place = centre + width * (v - 0.5) / u if u else -1.0
+            if 0 <= place < end and 2 * math.log(u) <= top - height(int(place)):
+                found = int(place)
+                break
+    else:
+        found = 0
+    if good > bad:
+        found = drawn - found
+    return found if drawn == size else good - found
 
 
 def _draw_row(rng: np.random.Generator, left: np.ndarray, size: int) -> np.ndarray:
-    """Counts per column level when ``size`` items are drawn from ``left`` without replacement."""
-    if left.sum() < _EXACT_POPULATION:
-        return rng.multivariate_hypergeometric(left, size)
+    """Counts per column level when ``size`` items are drawn from ``left`` without replacement, level by level."""
     drawn, rest, need = np.zeros_like(left), int(left.sum()), size
     for j, have in enumerate(left):
-        others = rest - int(have)
-        share = have / rest
-        spread = np.sqrt(max(0.0, need * share * (1 - share) * (rest - need) / max(1, rest - 1)))
-        guess = round(rng.normal(need * share, spread))
-        drawn[j] = min(max(guess, need - others, 0), int(have), need)
-        rest, need = others, need - int(drawn[j])
-        if rest == 0:
-            break
+        rest -= int(have)
+        drawn[j] = _hypergeometric(rng, int(have), rest, need)
+        need -= int(drawn[j])
     return drawn
 
 
@@ -163,7 +192,7 @@ def permutation_test(df: DataFrame, a: str, b: str, m: int, seed: int = 42) -> D
     only through those margins. So the data is read once (for the contingency table) and the m
     random tables are drawn from the margins, spread over the cluster with one seed per draw.
     """
-    cells = _expected(df, a, b)
+    cells = _cells(df, a, b)
     margins_a = cells.groupBy(a).agg(F.sum("observed").alias("s")).agg(F.sort_array(F.collect_list("s"))).scalar()
     margins_b = cells.groupBy(b).agg(F.sum("observed").alias("s")).agg(F.sort_array(F.collect_list("s"))).scalar()
     observed = chi_square(df, a, b, correction=False).select("chi2").scalar()

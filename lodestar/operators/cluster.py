@@ -46,14 +46,14 @@ def kmeans_labels(pts: DataFrame, model: KMeansModel | GaussianMixtureModel, out
     return model.setPredictionCol(out).transform(with_vector(pts)).select(*pts.columns, out)
 
 
-def kmeans_sweep(pts: DataFrame, ks: Sequence[int], seeds: int = 10, silhouettes: bool = True, sample: int | None = None) -> DataFrame:
-    """Inertia (and silhouette) per k."""
+def kmeans_sweep(pts: DataFrame, ks: Sequence[int], seeds: int = 10, silhouettes: bool = True) -> DataFrame:
+    """Inertia and silhouette (of squared distances, so linear in the points) per k."""
     spark, rows = pts.sparkSession, []
     for k in ks:
         model = kmeans(pts, k, seeds)
         score = None
         if silhouettes:
-            score = silhouette(kmeans_labels(pts, model), "cluster", sample=sample).first()["silhouette"]
+            score = silhouette_squared(kmeans_labels(pts, model), "cluster").first()["silhouette"]
         rows.append((k, float(model.summary.trainingCost), score))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -208,14 +208,12 @@ def k_distance(pts: DataFrame, k: int, sample: int | None = None, seed: int = 42
 
 
 def _contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    cells = df.groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    return cells.select(
-        "n",
-        F.sum("n").over(Window.partitionBy(a)).alias("na"),
-        F.sum("n").over(Window.partitionBy(b)).alias("nb"),
-        F.count(F.lit(1)).over(Window.partitionBy(a)).alias("ka"),
-        F.count(F.lit(1)).over(Window.partitionBy(b)).alias("kb"),
-    )
+    """Cells with their margins and the number of cells each margin has."""
+    cells = df.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    of_a = cells.groupBy("a").agg(F.sum("n").alias("na"), F.count(F.lit(1)).alias("ka")).withColumnRenamed("a", "of_a")
+    of_b = cells.groupBy("b").agg(F.sum("n").alias("nb"), F.count(F.lit(1)).alias("kb")).withColumnRenamed("b", "of_b")
+    both = cells.join(of_a, F.col("a").eqNullSafe(F.col("of_a"))).join(of_b, F.col("b").eqNullSafe(F.col("of_b")))
+    return both.select("n", "na", "nb", "ka", "kb")
 
 
 def ari(df: DataFrame, a: str, b: str) -> DataFrame:

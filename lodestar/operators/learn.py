@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,23 +21,35 @@ from pyspark.sql import functions as F
 #: Fits a model on a frame that has the feature columns, a ``features`` vector and the label.
 Fit = Callable[[DataFrame], Model]
 
-#: More levels than this in one categorical column would give more 0/1 columns than a model wants.
-MAX_LEVELS = 1000
+
+def dummies(df: DataFrame, levels: dict[str, Sequence]) -> DataFrame:
+    """0/1 columns for the given levels of each categorical column without the first one in order; the categories go."""
+    named = {
+        f"{c}_{level}": F.coalesce(F.col(c) == F.lit(level), F.lit(False)).cast("int")
+        for c, found in levels.items()
+        for level in sorted(found)[1:]
+    }
+    return df.withColumns(named).drop(*levels)
 
 
-def dummies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """0/1 columns per category without the alphabetically first one; the categories go.
+def one_hot(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
+    """All categories as one sparse 0/1 vector without the alphabetically first level of each column, for any number of levels.
 
-    At most one level more than :data:`MAX_LEVELS` reaches the driver per column.
+    A null has no level: all its entries are 0 (as for the first level).
     """
-    named = {}
-    for c in cols:
-        found = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
-        for level in sorted(r[0] for r in found)[1:]:
-            named[f"{c}_{level}"] = F.coalesce(F.col(c) == F.lit(level), F.lit(False)).cast("int")
-    return df.withColumns(named).drop(*cols)
+    indexed, coded = [f"_i_{c}" for c in cols], [f"_v_{c}" for c in cols]
+    stages = [
+        StringIndexer(inputCols=list(cols), outputCols=indexed, stringOrderType="alphabetDesc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=coded, dropLast=False),
+    ]
+    wide = Pipeline(stages=stages).fit(df).transform(df)
+    # The descending order puts the first level last, and what is kept for nulls behind it.
+    cut_off = [VectorSlicer(inputCol=v, outputCol=f"_s_{c}", indices=list(range(size - 2))) for c, v, size in (
+        (c, v, wide.schema[v].metadata["ml_attr"]["num_attrs"]) for c, v in zip(cols, coded)) if size > 2]
+    for slicer in cut_off:
+        wide = slicer.transform(wide)
+    kept = [s.getOutputCol() for s in cut_off]
+    return VectorAssembler(inputCols=kept, outputCol=out).transform(wide).select(*df.columns, out)
 
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -76,8 +88,8 @@ def linear(label: str) -> Fit:
     return LinearRegression(labelCol=label, solver="normal").fit
 
 
-def random_forest(label: str, trees: int = 300, depth: int = 10, seed: int = 42) -> Fit:
-    """Bagged trees; every split may use every feature, as is usual for regression forests."""
+def random_forest(label: str, trees: int = 300, depth: int = 30, seed: int = 42) -> Fit:
+    """Bagged trees as deep as the library allows (30); every split may use every feature, as is usual for regression forests."""
     forest = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed)
     return forest.fit
 
@@ -113,7 +125,7 @@ def ridge(label: str, features: Sequence[str], alphas: Sequence[float]) -> Fit:
     return fit
 
 
-def forest_classifier(label_index: str, trees: int = 300, depth: int = 10, seed: int = 42) -> Fit:
+def forest_classifier(label_index: str, trees: int = 300, depth: int = 30, seed: int = 42) -> Fit:
     return RandomForestClassifier(labelCol=label_index, numTrees=trees, maxDepth=depth, seed=seed).fit
 
 

@@ -14,15 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.session import cut, sent_if_small
+from lodestar.session import cut
 
 # monotonically_increasing_id() keeps the slice number above bit 33 and the row position below.
 _SLICE_BITS = 33
 _POSITION_MASK = (1 << _SLICE_BITS) - 1
 
-#: Up to this many distinct (group, value) pairs, quantiles come from the table of value counts.
-DIRECT_VALUES = 1_000_000
-
 #: Rank error of a quantile sketch is one part in this many.
 SKETCH_ACCURACY = 10_000
 
@@ -110,7 +107,7 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         return ranked
     starts = ranked.groupBy(*by).agg(F.min("below").alias("_start"), F.sum("n").alias("_size"))
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"g.{c}")) for c in by]
-    return ranked.alias("r").join(sent_if_small(starts).alias("g"), same).select(
+    return ranked.alias("r").join(starts.alias("g"), same).select(
         *[F.col(f"r.{c}").alias(c) for c in by],
         F.col(f"r.{value}").alias(value),
         "n",
@@ -135,18 +132,16 @@ def _at_ranks(x: Column, upto: Column, total: Column, p: float, where: Column |
 def quantile_columns(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles as one named column each, one row per group.
 
-    A column with few distinct values is reduced to its value counts, which are ranked. One with
-    many is not sorted at all: a sketch brackets every quantile within a narrow value window,
+    The column is not sorted: a sketch brackets every quantile within a narrow value window,
     a second pass counts what lies below each window, and only the rows inside (some hundredths
-    of a percent) are ranked. Should a window ever miss its quantile, the first way is taken.
+    of a percent, or the copies of one value, which are counted first) are ranked. The counts show whether a window holds its quantile; should one
+    ever miss it, all value counts are ranked instead, with the same result.
     """
     by = list(by)
     data = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
-    distinct = data.agg(F.approx_count_distinct(F.struct(*by, "_x"))).first()[0]
-    if distinct > DIRECT_VALUES:
-        narrowed = _narrowed(data, probs, by)
-        if narrowed is not None:
-            return narrowed
+    narrowed = _narrowed(data, probs, by)
+    if narrowed is not None:
+        return narrowed
     ranks = value_ranks(data, "_x", by)
     upto = F.col("below") + F.col("n")
     return ranks.groupBy(*by).agg(*[_at_ranks(F.col("_x"), upto, F.col("total"), p).alias(c) for c, p in probs.items()])
@@ -159,7 +154,7 @@ def _attach(data: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
         row = small.select(F.struct(*extra)).scalar()
         return data.withColumns({c: row[c] for c in extra})
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]
-    return data.alias("d").join(sent_if_small(small).alias("m"), same).select("d.*", *[f"m.{c}" for c in extra])
+    return data.alias("d").join(small.alias("m"), same).select("d.*", *[f"m.{c}" for c in extra])
 
 
 def _narrowed(data: DataFrame, probs: dict[str, float], by: list[str]) -> DataFrame | None:

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.ordered import prefix_sum, quantile_columns
+from lodestar.operators.ordered import _attach, prefix_sum, quantile_columns
 from lodestar.operators.project import unpivot_row
-from lodestar.session import sent_if_small
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -39,7 +38,16 @@ def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     base = row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in cols])))
     long = numbers.unpivot([], list(cols), "column", "value")
     marks = quantile_columns(long, "value", QUARTILES, ["column"])
-    return base.join(marks, "column").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
+    # A column of nulls has no quartiles but a row.
+    return base.join(marks, "column", "left").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
+
+
+def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per text column: count, distinct values, first and last value in order, shortest and longest length."""
+    measures = {"count": F.count, "distinct": F.count_distinct, "min": F.min, "max": F.max,
+                "min_length": lambda c: F.min(F.length(c)), "max_length": lambda c: F.max(F.length(c))}
+    row = df.agg(*[F.struct(*[f(F.col(c)).alias(m) for m, f in measures.items()]).alias(f"_{i}") for i, c in enumerate(cols)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}.*")) for i, c in enumerate(cols)])))
 
 
 def spread(df: DataFrame, col: str) -> DataFrame:
@@ -167,7 +175,7 @@ def _fenced(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     marks = quantile_columns(df, col, QUARTILES, by)
     iqr = F.col("q3") - F.col("q1")
     fences = marks.withColumns({"_lo": F.col("q1") - 1.5 * iqr, "_hi": F.col("q3") + 1.5 * iqr})
-    return df.filter(F.col(col).isNotNull()).join(sent_if_small(fences), list(by))
+    return _attach(df.filter(F.col(col).isNotNull()), fences.select(*by, "q1", "median", "q3", "_lo", "_hi"), list(by))
 
 
 def boxplot_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:

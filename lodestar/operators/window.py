@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestar.operators.ordered import value_ranks
-from lodestar.session import sent_if_small
+
+#: Parts that a key is ranked in before a large top-k.
+_SALTS = 64
 
 
 def top_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
@@ -21,10 +23,14 @@ def topk_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
     """First k rows per key with their place.
 
     Spark limits each task to k rows per key before the shuffle (``WindowGroupLimit``), so a
-    hot key costs k rows per task there. That rule applies to k up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default).
+    hot key costs k rows per task there. It does so for k up to a setting (1000 by default); for a larger k the rows of a
+    key are ranked in ``_SALTS`` parts first, of which k rows each go on.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
+        part = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
+        df = salted.withColumn("_place", part).filter(F.col("_place") <= k).drop("_salt", "_place")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(out, rank).filter(F.col(out) <= k)
 
@@ -37,34 +43,23 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
 
 
-#: A key with more rows than this is sorted in several buckets instead of one.
-HOT_ROWS = 1_000_000
-
-
-def previous_value(
-    df: DataFrame, key: str, order: Sequence[str], value: str, bucket: Column, out: str = "previous", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def previous_value(df: DataFrame, key: str, order: Sequence[str], value: str, bucket: Column, out: str = "previous") -> DataFrame:
     """Value of the preceding row of the same key.
 
-    Ordinary keys are sorted whole. A hot key (more than ``hot_rows`` rows) is sorted per
-    ``bucket``, an expression that rises with the order, such as the minute of a time stamp, so
-    it spreads over as many tasks as it has buckets. The first row of a bucket takes the last
-    value of the key's preceding bucket, from a table with one row per (key, bucket). There are
-    at most rows / ``hot_rows`` hot keys, so their list is small.
+    Rows are sorted per key and ``bucket``, an expression that rises with the order (null where the first order column
+    is null), such as the minute of a time stamp, so a hot key spreads over as many tasks as it
+    has buckets. The first row of a bucket takes the last value of the key's preceding bucket, from a table with
+    one row per (key, bucket). Null buckets come first, as nulls do in the order.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = sent_if_small(sizes.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
-    marked = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn("_b", F.when(F.col("_is_hot"), bucket))
-    marked = marked.drop("_hot", "_is_hot")
+    marked = df.withColumn("_b", bucket)
     inside = Window.partitionBy(key, "_b").orderBy(*order)
     rows = marked.withColumn("_in", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
-    split = marked.filter("_b is not null")
-    ends = split.groupBy(key, "_b").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end"))
+    ends = marked.groupBy(key, "_b").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end"))
     carried = ends.select(
         F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.lag("_end").over(Window.partitionBy(key).orderBy("_b")).alias("_carry")
     ).filter("_carry is not null")
     return (
-        rows.join(carried, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_kb")), "left")
+        rows.join(carried, F.col(key).eqNullSafe(F.col("_k")) & F.col("_b").eqNullSafe(F.col("_kb")), "left")
         .withColumn(out, F.coalesce("_in", "_carry")["v"])
         .select(*df.columns, out)
     )
@@ -92,10 +87,9 @@ def change_alert(
     bucket: Column,
     pct: float = 0.05,
     strict: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows whose value moved by at least ``pct`` percent since the key's previous row."""
-    return alert_columns(previous_value(df, key, order, value, bucket, hot_rows=hot_rows), value, pct, strict)
+    return alert_columns(previous_value(df, key, order, value, bucket), value, pct, strict)
 
 
 def cumulative(df: DataFrame, col: str) -> DataFrame:

@@ -6,11 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows a helper table may have to be sent to every executor: some tens of megabytes for the
-#: narrow tables (keys and a few numbers) this is used for.
-BROADCAST_ROWS = 500_000
 
 #: Settings every job of the library wants. Values already set by the cluster win.
 DEFAULTS = {
@@ -71,12 +66,3 @@ def cut(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """Write a narrow helper table down, count it, and mark it for broadcast only if it is small.
-
-    Beyond the bound the join is shuffled, with adaptive splitting of hot keys.
-    """
-    table = cut(df)
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table

@@ -12,14 +12,15 @@ EVENT_MARK = "data: "
 def decode_json(df: DataFrame, col: str, ddl: str, drop_malformed: bool = False) -> DataFrame:
     """JSON text (or bytes) to typed columns; other columns stay.
 
-    Text that does not parse gives a row of nulls. ``drop_malformed`` removes those rows, so
-    they do not form a null group later.
+    Text that does not parse gives a row of nulls. ``drop_malformed`` removes those rows (and null
+    texts), so they do not form a null group later; documents without any of the fields stay.
     """
     rest = [c for c in df.columns if c != col]
-    decoded = df.withColumn("_m", F.from_json(F.col(col).cast("string"), ddl))
-    if drop_malformed:
-        decoded = decoded.filter(F.to_json("_m") != "{}")
-    return decoded.select(*rest, "_m.*")
+    if not drop_malformed:
+        return df.withColumn("_m", F.from_json(F.col(col).cast("string"), ddl)).select(*rest, "_m.*")
+    judged = F.from_json(F.col(col).cast("string"), f"{ddl}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    decoded = df.withColumn("_m", judged).filter("_m is not null and _m._broken is null")
+    return decoded.select(*rest, F.col("_m").dropFields("_broken").alias("_m")).select(*rest, "_m.*")
 
 
 def decode_event_lines(df: DataFrame, line_col: str, ddl: str, required: str) -> DataFrame:

@@ -75,31 +75,9 @@ def stream_change_alert(
     )
 
 
-def partition_balance(df: DataFrame, partition: Column) -> DataFrame:
-    """Rows per log partition and the skew (largest partition over the mean)."""
-    rows = df.groupBy(partition.alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
-    skew = rows.agg(F.max("rows") / F.avg("rows")).scalar()
-    return rows.withColumn("skew", skew)
-
-
-def keyed(key: str, n: int) -> Column:
-    """Partition of a keyed message: the same key always lands in the same one."""
-    return F.pmod(F.hash(key), F.lit(n))
-
-
-def unkeyed(n: int) -> Column:
-    """Partition of an unkeyed message: dealt in turn within each producing task."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(n).cast("long")).cast("int")
-
-
 def reader_lag(ends: DataFrame, positions: DataFrame) -> DataFrame:
     """Messages a reader still has to read, per partition (a partition never read counts whole)."""
     position = F.coalesce(F.col("position"), F.lit(0))
     return ends.join(positions, "partition", "left").select(
         "partition", "end_offset", position.alias("position"), (F.col("end_offset") - position).alias("lag")
     )
-
-
-def task_assignment(df: DataFrame) -> DataFrame:
-    """Rows per reading task: more tasks than source partitions leaves tasks idle."""
-    return df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("rows"))

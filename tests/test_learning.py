@@ -84,9 +84,11 @@ def test_folds_do_not_move(study):
 
 def test_first_category_is_dropped(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "g string")
-    out = learn.dummies(df, ["g"])
+    out = learn.dummies(df, {"g": ["c", "a", "b"]})
     assert out.columns == ["g_b", "g_c"]
     assert [tuple(r) for r in out.collect()] == [(1, 0), (0, 0), (0, 1), (0, 0)]
+    sparse = learn.one_hot(df, ["g"])
+    assert {r["g"]: tuple(r["features"]) for r in sparse.collect()} == {"c": (1, 0), "b": (0, 1), "a": (0, 0), None: (0, 0)}
 
 
 # --- clustering -----------------------------------------------------------------------------

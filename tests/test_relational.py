@@ -81,8 +81,8 @@ def test_change_alert_equals_loop(skewed):
         before, last[r["key"]] = last.get(r["key"]), r["value"]
         if before is not None and abs((r["value"] - before) / before * 100) >= 5:
             want.add((r["id"], before, "up" if r["value"] > before else "down"))
-    for hot_rows, bucket in ((100, F.to_date("ts")), (1000, F.date_trunc("hour", "ts")), (0, F.lit(0)), (10**6, F.to_date("ts"))):
-        rows = window.change_alert(skewed, "key", ["ts", "id"], "value", bucket, 5, hot_rows=hot_rows).collect()
+    for bucket in (F.to_date("ts"), F.date_trunc("hour", "ts"), F.lit(0)):
+        rows = window.change_alert(skewed, "key", ["ts", "id"], "value", bucket, 5).collect()
         assert {(r["id"], r["previous"], r["direction"]) for r in rows} == want
 
 
@@ -94,11 +94,25 @@ def test_alert_threshold_can_be_strict(spark):
 
 def test_null_previous_is_kept_as_null(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 5.0), ("a", 3, 6.0)], "k string, t int, v double")
-    for hot_rows in (0, 10):
-        rows = window.previous_value(df, "k", ["t"], "v", F.col("t"), hot_rows=hot_rows).orderBy("t").collect()
+    for bucket in (F.lit(0), F.col("t")):
+        rows = window.previous_value(df, "k", ["t"], "v", bucket).orderBy("t").collect()
         assert [r["previous"] for r in rows] == [None, None, 5.0]
 
 
+def test_previous_value_after_a_null_time(spark):
+    """A row without a time comes first, whatever the buckets are."""
+    df = spark.createDataFrame([("a", None, 10.0), ("a", 0, 20.0), ("a", 5, 30.0), (None, 1, 1.0), (None, 9, 2.0)], "k string, t int, v double")
+    for bucket in (F.lit(0), F.col("t"), (F.col("t") / 3).cast("int")):
+        rows = window.previous_value(df, "k", ["t"], "v", bucket).collect()
+        assert {(r["k"], r["t"]): r["previous"] for r in rows} == {("a", None): None, ("a", 0): 10.0, ("a", 5): 20.0, (None, 1): None, (None, 9): 1.0}
+
+
+def test_large_top_k(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), "id")
+    rows = window.topk_per_key(df, "k", [F.desc("id")], 1500).collect()
+    assert {(r["k"], r["place"], r["id"]) for r in rows} == {(i % 2, (4999 - i) // 2 + 1, i) for i in range(2000, 5000)}
+
+
 def test_no_alert_from_zero(spark):
     df = spark.createDataFrame([("a", 1, 0.0), ("a", 2, 5.0), ("a", 3, 6.0)], "k string, t int, v double")
     assert [r["t"] for r in window.change_alert(df, "k", ["t"], "v", F.lit(0)).collect()] == [3]

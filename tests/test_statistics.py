@@ -18,10 +18,9 @@ def data(spark):
     return spark.createDataFrame(rows, "x double, y double, g string").cache(), x, y, g
 
 
-@pytest.mark.parametrize("direct, accuracy", [(10**6, 10_000), (0, 10_000), (0, 50), (0, 3)])
-def test_quantiles(data, monkeypatch, direct, accuracy):
-    """The table of counts, the narrow windows, and windows too coarse to be trusted agree."""
-    monkeypatch.setattr(ordered, "DIRECT_VALUES", direct)
+@pytest.mark.parametrize("accuracy", [10_000, 50, 3])
+def test_quantiles(data, monkeypatch, accuracy):
+    """Narrow windows and windows too coarse to be trusted agree."""
     monkeypatch.setattr(ordered, "SKETCH_ACCURACY", accuracy)
     df, x, y, g = data
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
@@ -129,3 +128,26 @@ def test_permutation_agrees_with_chi_square(data):
     df = df.withColumn("h", F.when(F.col("y") > 6, "hi").otherwise("lo"))
     p = bi.chi_square_test(df, "g", "h", correction=False).first()["p_value"]
     assert bi.permutation_test(df, "g", "h", 3000).first()["p_value"] == pytest.approx(p, abs=0.05)
+
+
+def test_hypergeometric_draws():
+    """Moments of the sampler, in a small population and in one beyond 32 bits, and exact corner cases."""
+    for good, bad, size in ((30, 70, 20), (4 * 10**9, 6 * 10**9, 10**6), (3, 10**12, 10**6), (70, 30, 90)):
+        rng = np.random.default_rng(1)
+        drawn = np.array([bi._hypergeometric(rng, good, bad, size) for _ in range(20_000)])
+        share, total = good / (good + bad), good + bad
+        spread = (size * share * (1 - share) * (total - size) / (total - 1)) ** 0.5
+        assert abs(drawn.mean() - size * share) < 5 * spread / len(drawn) ** 0.5
+        assert spread < 0.01 or abs(drawn.std() / spread - 1) < 0.05
+        assert drawn.min() >= max(0, size - bad) and drawn.max() <= min(good, size)
+    rng = np.random.default_rng(2)
+    assert [bi._hypergeometric(rng, *a) for a in ((0, 5, 3), (5, 0, 3), (5, 5, 0), (5, 5, 10))] == [0, 3, 0, 5]
+
+
+def test_tail_probabilities():
+    from lodestar.functions import pvalues
+
+    assert pvalues._t_two_sided(2.228138852, 10) == pytest.approx(0.05, abs=1e-9)
+    assert pvalues._t_two_sided(3.5, 1001) == pytest.approx(0.000485753569, rel=1e-8)
+    assert pvalues._chi2_tail(18.307038053, 10) == pytest.approx(0.05, abs=1e-9)
+    assert pvalues._chi2_tail(5.0, 2) == pytest.approx(np.exp(-2.5))

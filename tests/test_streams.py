@@ -183,11 +183,10 @@ def test_document_ids(spark):
     assert twice[0] == twice[1] and len(set(twice[0])) == 2
 
 
-def test_same_key_same_partition(spark):
-    df = spark.range(1000).select((F.col("id") % 7).alias("k"))
-    per_key = df.groupBy("k").agg(F.count_distinct(jobs.keyed("k", 3)).alias("p"))
-    assert per_key.agg(F.max("p")).first()[0] == 1
-    assert jobs.partition_balance(df, jobs.unkeyed(4)).agg(F.max("skew")).first()[0] < 1.1
+def test_malformed_documents_only_are_dropped(spark):
+    df = spark.createDataFrame([('{"a":1}',), ("{}",), ('{"b":2}',), ('{"a":null}',), ('{"a":',), (None,)], "t string")
+    assert sorted(str(r["a"]) for r in decode.decode_json(df, "t", "a int", drop_malformed=True).collect()) == ["1", "None", "None", "None"]
+    assert decode.decode_json(df, "t", "a int").count() == 6
 
 
 def test_lag_of_an_unread_partition(spark):
