@@ -1,9 +1,9 @@
 """Toxicity classifier with a counterfactual penalty, in numpy.
 
 Features are hashed words and word beginnings. How often each occurs in toxic and in other
-documents is counted over all labels that may be learned from; that gives every feature a first weight. A
+documents is counted over a bounded sample of the labels; that gives every feature a first weight. A
 document's logit is a smooth maximum over its features, so its length does not matter. The
-weights are then refined on a bounded sample: sentences that name a group are paired with the same
+weights are then refined: sentences that name a group are paired with the same
 text naming another group, and a change of the logit between the two is penalised, so the name itself comes to
 weigh nothing.
 """
@@ -39,8 +39,8 @@ IDENTITY_TERMS = [
 
 #: Hashed features, lengths in bytes of the word beginnings, features of a document that training looks at.
 BITS, BEGINNINGS, TOP = 21, (4, 5, 6, 7, 8), 48
-#: Labelled rows that refinement takes at most.
-SAMPLE_ROWS = 6000
+#: Labelled rows that features are counted over at most, and rows of these that refinement takes.
+SAMPLE_ROWS, REFINED_ROWS = 20000, 6000
 #: Documents' worth of doubt in a feature's first weight.
 _DOUBT = 10.0
 _SHARP = 2.0
@@ -138,6 +138,9 @@ def refine(weight: np.ndarray, samples: list[tuple[int, list[int], list[int] | N
 
     ``samples``: label, strongest features, and those of the exchanged text where there is one.
     """
+    if not samples:
+        return Model(weight, -3.0)
+
     def table(lists):
         out = np.full((len(lists), TOP), 1 << BITS, np.int64)
         for i, f in enumerate(lists):
@@ -186,8 +189,8 @@ def refine(weight: np.ndarray, samples: list[tuple[int, list[int], list[int] | N
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, label: str = "toxic",
-        rows: int = SAMPLE_ROWS, penalty: float = 1.0, terms: list[list[str]] | None = None) -> Model:
-    """Count features over all usable labels, then refine on at most ``rows`` of them.
+        rows: int = SAMPLE_ROWS, refined: int = REFINED_ROWS, penalty: float = 1.0, terms: list[list[str]] | None = None) -> Model:
+    """Count features over at most ``rows`` usable labels, then refine on at most ``refined`` of them.
 
     The driver receives three numbers for each of at most 2^BITS features and ``TOP`` features per sampled
     row, whatever the input. Without labels of both kinds every score is that of the share of toxic labels.
@@ -195,8 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1
     terms = IDENTITY_TERMS if terms is None else terms
     usable = training_labels(labels, label, modulus, remainder)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    labelled = texts.join(usable, "doc_id")
-    totals = dict(usable.groupBy("y").count().collect())
+    counting = sampled(usable, rows)
+    labelled = texts.join(F.broadcast(counting), "doc_id")
+    totals = dict(counting.groupBy("y").count().collect())
     totals = totals.get(0, 0), totals.get(1, 0)
     if not all(totals):
         return Model(np.zeros(1 << BITS, np.float32), -3.0 if not totals[1] else 3.0)
@@ -215,8 +219,9 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1
                 "own": pa.array(_strongest(sent.value, batch.column("text")), pa.list_(pa.int32())),
                 "other": pa.array([o if s is not None else None for o, s in zip(other, swapped)], pa.list_(pa.int32()))})
 
-    taken = texts.join(F.broadcast(sampled(usable, rows)), "doc_id").mapInArrow(strongest, "doc_id long, y int, own array<int>, other array<int>").collect()
-    taken = sorted(taken, key=lambda r: (r["doc_id"], r["y"], r["own"]))[:rows]
+    taken = texts.join(F.broadcast(sampled(usable, refined)), "doc_id").mapInArrow(strongest, "doc_id long, y int, own array<int>, other array<int>").collect()
+    # The order of rows that sums are taken in must not depend on the cluster.
+    taken = sorted(taken, key=lambda r: (r["doc_id"], r["y"], r["own"]))[:refined]
     return refine(weight, [(r["y"], r["own"], r["other"]) for r in taken], penalty)
 
 
