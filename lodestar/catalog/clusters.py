@@ -115,6 +115,30 @@ def _(spark, sf):
     return cluster.kmeans_sweep(_embeddings(spark, sf), range(2, 9))
 
 
+@catalog.add("kmeans_inertia", "SELECT count(*) AS n, true AS as_reported FROM embeddings")
+def _(spark, sf):
+    """Inertia recomputed from labels and centres against the one the model reports."""
+    pts = _embeddings(spark, sf)
+    model = cluster.kmeans(pts, 5, seeds=1)
+    centres = F.lit([[float(v) for v in c] for c in model.clusterCenters()]).cast("array<array<double>>")
+    gaps = F.zip_with("x", F.get(centres, F.col("cluster")), lambda a, b: (a - b) * (a - b))
+    labelled = cluster.kmeans_labels(pts, model).select(F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v).alias("d2"))
+    reported = float(model.summary.trainingCost)
+    return labelled.agg(F.count(F.lit(1)).alias("n"), (F.abs(F.sum("d2") / reported - 1) < 1e-6).alias("as_reported"))
+
+
+@catalog.add(
+    "pca2_plane",
+    """WITH v AS (SELECT var_samp(p_size) AS a, var_samp(p_retailprice) AS c, covar_samp(p_size, p_retailprice) AS b FROM part),
+         r AS (SELECT (a + c) / 2 AS m, sqrt(pow((a - c) / 2, 2) + b * b) AS h FROM v)
+       SELECT round(m + h, 3) AS first, round(m - h, 3) AS second FROM r""",
+)
+def _(spark, sf):
+    """Variances along the principal axes of two columns, against their closed form."""
+    rows = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.array(F.col("p_size").cast("double"), "p_retailprice").alias("x"))
+    return cluster.pca2(rows).agg(F.round(F.var_samp("pc1"), 3).alias("first"), F.round(F.var_samp("pc2"), 3).alias("second"))
+
+
 @catalog.add("ward_micro")
 def _(spark, sf):
     return cluster.cluster_sizes(cluster.ward(_embeddings(spark, sf), 3), "cluster")

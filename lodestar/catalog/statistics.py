@@ -58,6 +58,20 @@ def _(spark, sf):
     return ordered.quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75], approx=True)
 
 
+@catalog.add("quantiles_approx_bound", "SELECT p, true AS within FROM (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) AS v(p)")
+def _(spark, sf):
+    """Whether the ranks of the approximate quantiles are as close as the sketch promises."""
+    prices = table(spark, sf, "lineitem").select("l_extendedprice")
+    marks = ordered.quantiles(prices, "l_extendedprice", [0.25, 0.5, 0.75], approx=True)
+    row = marks.groupBy().pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")).toDF("a", "b", "c").select(F.array("a", "b", "c")).scalar()
+    shares = []
+    for i in range(3):
+        shares += [F.avg((F.col("l_extendedprice") < row[i]).cast("double")).alias(f"lo{i}"), F.avg((F.col("l_extendedprice") <= row[i]).cast("double")).alias(f"hi{i}")]
+    slack = 1.0 / ordered.SKETCH_ACCURACY + 1e-9
+    held = [F.struct(F.lit(p).alias("p"), ((F.col(f"lo{i}") <= p + slack) & (F.col(f"hi{i}") >= p - slack)).alias("within")) for i, p in enumerate((0.25, 0.5, 0.75))]
+    return prices.agg(*shares).select(F.inline(F.array(*held)))
+
+
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -336,9 +350,18 @@ def _(spark, sf):
     return _round(bi.spearman(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice"), 8, "rho")
 
 
-@catalog.add("spearman_p")
+@catalog.add(
+    "spearman_p",
+    # The normal tail by the series of the error function, and the first correction for the degrees of freedom.
+    f"""WITH {_RANKS}, s AS (SELECT count(*) AS n, corr(ax, ay) AS rho FROM r),
+        t AS (SELECT n, rho, abs(rho) * sqrt((n - 2) / (1 - rho * rho)) AS t FROM s),
+        e AS (SELECT n, rho, t, sum(CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END * pow(t / sqrt(2), 2 * k + 1) / (gamma(k + 1) * (2 * k + 1))) * 2 / sqrt(pi()) AS erf
+              FROM t, range(0, 60) AS i(k) GROUP BY n, rho, t)
+        SELECT n, round(rho, 8) AS rho, round(1 - erf + exp(-t * t / 2) / sqrt(2 * pi()) * t * (t * t + 1) / (2 * (n - 2)), 5) AS p_value FROM e""",
+)
 def _(spark, sf):
-    return bi.spearman_test(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+    test = bi.spearman_test(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+    return _round(_round(test, 8, "rho"), 5, "p_value")
 
 
 @catalog.add(
