@@ -21,7 +21,7 @@ def _both(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     around = _both(links)
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return around.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    return around.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -32,8 +32,11 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(own).filter("a <> b").distinct()
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+def _is_forest(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller node or is the end of links, never both."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("up")), F.struct(F.col("b").alias("id"), F.lit(0).alias("up")))).alias("e"))
+    node = ends.groupBy("e.id").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("least"))
+    return node.filter("ups > 1 or (ups = 1 and least = 0)").isEmpty()
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -42,10 +45,6 @@ def stars(links: DataFrame) -> DataFrame:
     ``links`` has columns ``a`` and ``b`` of one orderable type. Loops and nulls are ignored.
     """
     links = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = _state(links)
-    while state[0]:
+    while not _is_forest(links):
         links = cut(_small_star(_large_star(links)))
-        if (now := _state(links)) == state:
-            break
-        state = now
     return links.select(F.col("a").alias("id"), F.col("b").alias("root"))

@@ -1,16 +1,18 @@
 """Near-duplicate detection: a chosen-path set similarity join over word shingles.
 
-Every distinct shingle set gets ``COORDINATES`` minwise tokens. In each of ``TREES`` independent
+Every distinct shingle set gets ``COORDINATES`` minwise tokens and ``EXTRA`` more of one byte. In each of ``TREES`` independent
 trees a document walks down from the root: a node chooses one coordinate by its own hash, and
-documents with the same token there share the child. After ``FIRST`` levels the documents of a
-node are compared: first each with the least id of the node it shares most trees with, then, where a node still holds several
-components, every pair across components. A node with more such pairs than ``LEAF`` branches further, down to
-level ``LAST``, below which it is compared exhaustively whatever its size. No pair is compared
-inside a component, so a group of thousands of copies costs a comparison per copy.
-
-Two sets of Jaccard similarity s share a node of level d in some tree with probability
-1 - (1 - s^d)^TREES: at 0.85 and level 4 all but 2 in 10^8, at level 8 all but 5 in 10^4. Links
-are confirmed on the full sets.
+documents with the same token there share the child. After ``FIRST`` levels each document is compared
+with the least id of the node it shares most trees with, and components are formed. Nodes that still hold several
+components are compared exhaustively if they are small: all pairs across components whose minwise
+tokens agree often enough are candidates. A node of more than ``SMALL`` documents branches further by ``DEEPER``; what is
+left large after that is compared in blocks, whatever its size. No pair inside a component becomes a
+row, so a group of thousands of copies costs a comparison per copy.
+
+Two sets of Jaccard similarity s share t * s^d nodes of level d on average, where t counts the trees and
+the branches taken since. At 0.85 that is 15.1 at level 6 (none with probability 10^-8) and 16.4 at level 14;
+at 0.6 it falls from 1.9 to 0.1. A pair is dropped for too few equal tokens where that lies more than 4.2 standard
+deviations below what is expected at the threshold (about 1 in 10^5). All candidates are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -26,7 +28,12 @@ from lodestar.llm.components import stars
 from lodestar.llm.text import chain, flat, lower_ascii, mix, names, seeded, signed, slices, word_bounds
 from lodestar.session import cut
 
-COORDINATES, TREES, FIRST, LAST, LEAF = 64, 24, 4, 8, 2048
+COORDINATES, EXTRA, TREES, FIRST, SMALL = 64, 320, 40, 6, 2048
+#: Ids from here on are made for rows without one.
+_MADE = 1 << 62
+
+#: Levels that large nodes go down by, and branches each of them takes on the way.
+DEEPER = [(8, 2), (10, 1), (12, 2), (14, 1)]
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -65,14 +72,19 @@ def _sketch(width: int):
             both = np.concatenate(sets)
             cuts = (np.cumsum(n) - n)[full]
             least = np.zeros((len(sets), COORDINATES), np.uint32)
+            extra = np.zeros((len(sets), EXTRA), np.uint8)
             c = np.zeros((2, len(sets)), np.uint64)
             if len(full):
-                for k in range(COORDINATES):
+                for k in range(COORDINATES + EXTRA):
                     a, b = seeded(np.array([2 * k, 2 * k + 1], np.uint64), 77)
-                    least[full, k] = mix(np.minimum.reduceat((both ^ a) * (b | np.uint64(1)), cuts)) >> np.uint64(32)
+                    token = mix(np.minimum.reduceat((both ^ a) * (b | np.uint64(1)), cuts))
+                    if k < COORDINATES:
+                        least[full, k] = token >> np.uint64(32)
+                    else:
+                        extra[full, k - COORDINATES] = token >> np.uint64(56)
                 for k in range(2):  # what tells sets apart: 128 bits
                     c[k, full] = np.add.reduceat(seeded(both, 80 + k), cuts)
-            sig = pa.array([x.tobytes() for x in least], pa.binary())
+            sig = pa.array([x.tobytes() + y.tobytes() for x, y in zip(least, extra)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(signed(c[0])), pa.array(signed(c[1])), sig], schema=schema)
 
     return run
@@ -85,7 +97,8 @@ def _step(node: np.ndarray, tokens: np.ndarray, level: int) -> np.ndarray:
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), COORDINATES)
+    whole = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), 4 * COORDINATES + EXTRA)
+    return np.ascontiguousarray(whole[:, : 4 * COORDINATES]).view(np.uint32)
 
 
 _NODE = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
@@ -101,11 +114,15 @@ def _root_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(signed(node)), batch.column("id"), batch.column("n")], schema=_NODE)
 
 
-def _deeper(level: int):
+def _deeper(level: int, to: int, ways: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node = _step(batch.column("node").to_numpy().view(np.uint64), _tokens(batch.column("sig")), level)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(node)), batch.column("id"), batch.column("n")], schema=_NODE)
+            tokens, here = _tokens(batch.column("sig")), batch.column("node").to_numpy().view(np.uint64)
+            for way in range(ways):
+                node = seeded(here, 600 + way)
+                for step in range(level, to):
+                    node = _step(node, tokens, step)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(node)), batch.column("id"), batch.column("n")], schema=_NODE)
 
     return run
 
@@ -124,18 +141,16 @@ def _sets(width: int):
     return run
 
 
-def _similar(n1: Column, n2: Column, percent: int) -> Column:
-    """What sizes alone allow."""
-    return F.lit(100) * F.least(n1, n2) >= F.lit(percent) * F.greatest(n1, n2)
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose full sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sizes ``na`` and ``nb`` and exact intersection ``both`` of the full sets of pairs ``a``, ``b``."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").filter(_similar(F.col("na"), F.col("nb"), percent))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(F.lit(100) * shared >= F.lit(percent) * (F.col("na") + F.col("nb") - shared)).select("a", "b")
+    joined = pairs.select("a", "b").join(right, "b").join(left, "a")
+    return joined.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both"))
+
+
+def _linked(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
 def _shared_nodes(nodes: DataFrame) -> DataFrame:
@@ -144,22 +159,113 @@ def _shared_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.join(sizes.select("node", "pivot"), "node")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of documents of a node that lie in different components."""
-    parts = members.select("node", "root").distinct()
-    others = parts.select("node", F.col("root").alias("root2"))
-    pairs = parts.join(others, "node").filter("root < root2")
-    left = members.select("node", "root", F.col("id").alias("x"), F.col("n").alias("nx"))
-    right = members.select("node", F.col("root").alias("root2"), F.col("id").alias("y"), F.col("n").alias("ny"))
-    joined = pairs.join(left, ["node", "root"]).join(right, ["node", "root2"]).filter(_similar(F.col("nx"), F.col("ny"), percent))
-    return joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _agreeing(percent: int) -> int:
+    """Equal tokens below which a pair is out of the question."""
+    p, n = percent / 100, COORDINATES + EXTRA
+    return int(n * p - 4.2 * (n * p * (1 - p)) ** 0.5)
+
+
+def _compare(percent: int):
+    """Candidates of whole nodes; rows come sorted by node."""
+    least = _agreeing(percent)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        node, ident, n, root, pivot, far = (rows.column(c).to_numpy() for c in ("node", "id", "n", "root", "pivot", "far"))
+        whole = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(rows), -1)
+        token = np.concatenate([whole[:, 0 : 4 * COORDINATES : 4], whole[:, 4 * COORDINATES :]], 1)
+        lists = rows.column("nodes")
+        length = np.diff(lists.offsets.to_numpy())
+        nodes = np.full((len(rows), length.max(initial=0)), np.iinfo(np.int64).max)
+        nodes[np.arange(nodes.shape[1]) < length[:, None]] = lists.flatten().to_numpy()
+        for start, stop in zip(*_groups(node)):
+            # Every pair across components has a side outside the node's largest one.
+            _, kind, size = np.unique(root[start:stop], return_inverse=True, return_counts=True)
+            outside = kind != size.argmax()
+            mine = start + np.flatnonzero(outside)
+            other = slice(start, stop)
+            for i in range(0, len(mine), 32):
+                some = mine[i : i + 32]
+                near = root[some, None] != root[None, other]
+                near &= ~outside[None, :] | (ident[some, None] < ident[None, other])  # once, where both are outside
+                sizes = n[some, None], n[None, other]
+                near &= 100 * np.minimum(*sizes) >= percent * np.maximum(*sizes)
+                # Jaccard distance is a metric: two distances to one document bound the distance of a pair.
+                apart = np.abs(far[some, None] - far[None, other]) > 1 - percent / 100 + 1e-9
+                near &= ~(apart & (pivot[some, None] == pivot[None, other]))
+                near &= (token[some, None, :] == token[None, other, :]).sum(2, dtype=np.int16) >= least
+                x, y = np.nonzero(near)
+                first = _first_common(nodes, some[x], start + y) == node[start]
+                a, b = ident[some[x[first]]], ident[start + y[first]]
+                yield np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the node that may go on in the next batch
+
+        def flush(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for a, b in pairs(pa.concat_batches(rows)) if rows else ():
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            start = int(_groups(batch.column("node").to_numpy())[0][-1])
+            if held and start == 0 and batch.column("node")[0] == held[0].column("node")[-1]:
+                held.append(batch)
+                continue
+            yield from flush(held + [batch.slice(0, start)])
+            held = [batch.slice(start)]
+        yield from flush(held)
+
+    return run
+
+
+def _first_common(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The least node that both rows of each pair stand in; there the pair is reported, and nowhere else."""
+    out = np.empty(len(left), np.int64)
+    for a in range(0, len(left), 1024):
+        mine = nodes[left[a : a + 1024]]
+        shared = (mine[:, :, None] == nodes[right[a : a + 1024]][:, None, :]).any(2)
+        out[a : a + 1024] = mine[np.arange(len(mine)), shared.argmax(1)]
+    return out
+
+
+def _groups(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal values."""
+    start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    return start, np.append(start[1:], len(node))
+
+
+def _candidates(members: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components of nodes of any size; a large node is split into blocks that meet pairwise.
+
+    ``about`` has of each document the tokens and its exact distance ``far`` to a document ``pivot``.
+    """
+    blocks = F.ceil(F.col("m") * 2 / SMALL).cast("int")
+    own = F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.xxhash64("node", F.least(b, F.col("own")), F.greatest(b, F.col("own"))))
+    split = members.filter(F.col("m") > SMALL).withColumn("own", own).withColumn("to", F.explode(meets))
+    whole = members.filter(F.col("m") <= SMALL).withColumn("to", F.col("node"))
+    placed = whole.select("to", "id", "n", "root").unionByName(split.select("to", "id", "n", "root"))
+    # A document stands in one node of each branch of a tree (or in one row of blocks), so its list is short.
+    placed = cut(placed.withColumnRenamed("to", "node"))
+    listed = placed.groupBy("id").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    rows = placed.join(listed.join(about, "id"), "id")
+    together = rows.repartition("node").sortWithinPartitions("node")
+    return together.select("node", "id", "n", "root", "pivot", "far", "sig", "nodes").mapInArrow(_compare(percent), "a long, b long").distinct()
 
 
-def _work(members: DataFrame) -> DataFrame:
-    """Per node with several components: the number of pairs across them."""
-    parts = members.groupBy("node", "root").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    node = parts.groupBy("node").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
-    return node.filter("parts > 1").select("node", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("work"))
+def _divided(members: DataFrame) -> DataFrame:
+    """Per node with several components: the number of its documents."""
+    parts = members.groupBy("node", "root").agg(F.count(F.lit(1)).alias("m"))
+    return parts.groupBy("node").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m")).filter("parts > 1").select("node", "m")
+
+
+def _identity() -> Column:
+    """The document id, or for a null one a number made from the text, above all usual ids."""
+    made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(_MADE)
+    return F.coalesce(F.col("doc_id").cast("long"), made)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -170,10 +276,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     100 * intersection >= ``percent`` * union. A document without words (or with a null text) has an
     empty set and no links. Rows that repeat an id count as one document. Rows with a null id take
     part under a number made from their text above all usual ids; their ``component_id`` is null unless a row with an id
-    is reachable, and they stay (``kept``) only then. Other columns are ignored.
+    is reachable. Other columns are ignored.
     """
-    made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), made).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = _grouped(docs, width, percent)
+    return found.select(
+        F.when(F.col("id") < F.lit(_MADE), F.col("id")).alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("component") < F.lit(_MADE), F.col("component")).alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps: one document of each component."""
+    stay = _grouped(docs, width, percent).filter("id = component").select("id").distinct()
+    whole = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), _identity().alias("id"))
+    return whole.join(stay, "id").select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``id``, ``n`` (size of the set) and ``component`` of each row."""
+    texts = docs.select(_identity().alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     sketches = cut(texts.mapInArrow(_sketch(width), "id long, n long, c1 long, c2 long, sig binary"))
     # Equal sets first: a class of copies goes on as its smallest id. An empty set is alone.
     alone = F.when(F.col("n") == 0, F.col("id")).otherwise(F.lit(0))
@@ -188,32 +311,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     votes = shared.filter("pivot < id").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("votes"))
     nearest = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("pivot")).alias("p"))).alias("best"))
-    links = cut(_confirmed(nearest.select((-F.col("best.p")).alias("a"), F.col("id").alias("b")), sets, percent))
+    measured = cut(_measured(nearest.select((-F.col("best.p")).alias("a"), F.col("id").alias("b")), sets))
+    links = _linked(measured, percent)
     root = cut(stars(links))
 
     def rooted(nodes: DataFrame) -> DataFrame:
-        return nodes.select("node", "id", "n").join(root, "id", "left").select("node", "id", "n", F.coalesce("root", "id").alias("root"))
-
-    pairs, open_nodes = [], rooted(shared)
-    for level in range(FIRST, LAST + 1):
-        members = cut(open_nodes.join(_work(open_nodes), "node"))
-        leaf = members if level == LAST else members.filter(F.col("work") <= LEAF)
-        pairs.append(_across(leaf, percent))
-        if level == LAST or members.filter(F.col("work") > LEAF).isEmpty():
+        return cut(nodes.select("node", "id", "n").join(root, "id", "left").select("node", "id", "n", F.coalesce("root", "id").alias("root")))
+
+    parts, open_nodes, level = [], rooted(shared), FIRST
+    for to, ways in [*DEEPER, (None, None)]:
+        members = cut(open_nodes.join(_divided(open_nodes), "node"))
+        large = members.filter(F.col("m") > SMALL)
+        if to is None or large.isEmpty():
+            parts.append(members)
             break
-        large = members.filter(F.col("work") > LEAF).select("node", "id")
-        open_nodes = rooted(large.join(reps, "id").select("node", "id", "n", "sig").mapInArrow(_deeper(level), "node long, id long, n long"))
-    more = pairs[0]
-    for p in pairs[1:]:
-        more = more.unionByName(p)
-    more = cut(more.distinct())
+        parts.append(members.filter(F.col("m") <= SMALL))
+        rows = large.select("node", "id").join(reps, "id").select("node", "id", "n", "sig")
+        open_nodes = rooted(rows.mapInArrow(_deeper(level, to, ways), "node long, id long, n long"))
+        level = to
+    compared = parts[0]
+    for p in parts[1:]:
+        compared = compared.unionByName(p)
+    distance = (F.lit(1.0) - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far")
+    known = measured.select(F.col("b").alias("id"), F.col("a").alias("pivot"), distance)
+    # A document that was compared with none is at distance 0 from itself.
+    about = reps.join(known, "id", "left").select(
+        "id", "sig", F.coalesce("pivot", "id").alias("pivot"), F.coalesce("far", F.lit(0.0)).alias("far"))
+    more = cut(_candidates(compared, about, percent))
     if not more.isEmpty():
-        root = stars(links.unionByName(cut(_confirmed(more, sets, percent))))
-    by_class = member.join(root.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("root", "rep"))
-    real = F.col("id") < F.lit(1 << 62)
-    return by_class.select(
-        F.when(real, F.col("id")).alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("component") < F.lit(1 << 62), F.col("component")).alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
-    )
+        root = stars(links.unionByName(_linked(_measured(more, sets), percent)))
+    by_class = member.join(root.withColumnRenamed("id", "rep"), "rep", "left")
+    return by_class.select("id", "n", F.coalesce("root", "rep").alias("component"))
