@@ -1,23 +1,26 @@
 """Near-duplicate detection: a chosen-path set similarity join over word shingles.
 
-Every distinct shingle set gets ``COORDINATES`` minwise tokens and ``EXTRA`` more of one byte. In each of ``TREES`` independent
-trees a document walks down from the root: a node chooses one coordinate by its own hash, and
-documents with the same token there share the child. After ``FIRST`` levels each document is compared
+Every distinct shingle set gets ``COORDINATES`` minwise tokens of one byte. In each of several independent trees a
+document walks down from the root: a node chooses one coordinate by its own hash, and documents with the
+same token there share the child. After the levels of the first stage each document is compared
 with the least id of the node it shares most trees with, and components are formed. Nodes that still hold several
 components are compared exhaustively if they are small: all pairs across components whose minwise
-tokens agree often enough are candidates. A node of more than ``SMALL`` documents branches further by ``DEEPER``; what is
-left large after that is compared in blocks, whatever its size. No pair inside a component becomes a
-row, so a group of thousands of copies costs a comparison per copy.
-
-Two sets of Jaccard similarity s share t * s^d nodes of level d on average, where t counts the trees and
-the branches taken since. At 0.85 that is 15.1 at level 6 (none with probability 10^-8) and 16.4 at level 14;
-at 0.6 it falls from 1.9 to 0.1. A pair is dropped for too few equal tokens where that lies more than 4.2 standard
-deviations below what is expected at the threshold (about 1 in 10^5). All candidates are confirmed on the full sets.
+tokens agree often enough are candidates. The documents of nodes of more than ``SMALL`` start again from the roots of
+the next stage's trees, which are deeper and as many more as the same recall takes; what is large in the last stage is
+compared in blocks, whatever its size. No pair inside a component becomes a row, so a group of thousands of
+copies costs a comparison per copy.
+
+Two sets of Jaccard similarity s agree in k tokens, binomial over ``COORDINATES``, and share a node of d levels in a
+given tree with probability (k / COORDINATES)^d. ``plan`` takes as many trees as make a pair at the threshold share
+none with probability ``MISS`` at most, k drawn from the binomial. A pair none of whose shared nodes is small has both
+documents in the next stage, so ``MISS`` adds up over the stages, and once more for the count of equal tokens below
+which a pair is dropped. All candidates are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +31,42 @@ from lodestar.llm.components import stars
 from lodestar.llm.text import chain, flat, lower_ascii, mix, names, seeded, signed, slices, word_bounds
 from lodestar.session import cut
 
-COORDINATES, EXTRA, TREES, FIRST, SMALL = 64, 320, 40, 6, 2048
+COORDINATES, SMALL = 384, 2048
+#: Chance that a stage, or the count of equal tokens, loses a pair at the threshold: below 10^-5 over two stages and the count.
+MISS = 3e-6
+#: Trees of the second stage at most; where it takes more, large nodes of the first are compared in blocks.
+MOST_TREES = 512
 #: Ids from here on are made for rows without one.
 _MADE = 1 << 62
 
-#: Levels that large nodes go down by, and branches each of them takes on the way.
-DEEPER = [(8, 2), (10, 1), (12, 2), (14, 1)]
+
+def _agree(percent: int) -> np.ndarray:
+    """Probability of each count of equal tokens, 0 to ``COORDINATES``, of a pair at the threshold."""
+    n, s = COORDINATES, percent / 100
+    if percent == 100:
+        return np.eye(n + 1)[n]
+    return np.array([exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(s) + (n - k) * log(1 - s)) for k in range(n + 1)])
+
+
+def missed(percent: int, levels: int, trees: int) -> float:
+    """Probability that a pair at the threshold shares no node of ``levels`` levels in ``trees`` trees."""
+    return float((_agree(percent) * (1 - (np.arange(COORDINATES + 1) / COORDINATES) ** levels) ** trees).sum())
+
+
+def _trees(percent: int, levels: int) -> int:
+    """Least number of trees that misses a pair at the threshold with probability ``MISS`` at most."""
+    enough = 1
+    while missed(percent, levels, enough) > MISS:
+        enough *= 2
+    return next(t for t in range(enough // 2 + 1, enough + 1) if missed(percent, levels, t) <= MISS)
+
+
+def plan(percent: int) -> list[tuple[int, int]]:
+    """Levels and trees of each stage. The first is fixed."""
+    if not 10 <= percent <= 100:
+        raise ValueError(f"percent must be from 10 to 100, not {percent}")
+    stages = [(6, 40), (9, _trees(percent, 9))]
+    return stages[:1] + [s for s in stages[1:] if s[1] <= MOST_TREES]
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -71,20 +104,16 @@ def _sketch(width: int):
             full = np.flatnonzero(n)
             both = np.concatenate(sets)
             cuts = (np.cumsum(n) - n)[full]
-            least = np.zeros((len(sets), COORDINATES), np.uint32)
-            extra = np.zeros((len(sets), EXTRA), np.uint8)
+            least = np.zeros((len(sets), COORDINATES), np.uint8)
             c = np.zeros((2, len(sets)), np.uint64)
             if len(full):
-                for k in range(COORDINATES + EXTRA):
+                for k in range(COORDINATES):
                     a, b = seeded(np.array([2 * k, 2 * k + 1], np.uint64), 77)
                     token = mix(np.minimum.reduceat((both ^ a) * (b | np.uint64(1)), cuts))
-                    if k < COORDINATES:
-                        least[full, k] = token >> np.uint64(32)
-                    else:
-                        extra[full, k - COORDINATES] = token >> np.uint64(56)
+                    least[full, k] = token >> np.uint64(56)
                 for k in range(2):  # what tells sets apart: 128 bits
                     c[k, full] = np.add.reduceat(seeded(both, 80 + k), cuts)
-            sig = pa.array([x.tobytes() + y.tobytes() for x, y in zip(least, extra)], pa.binary())
+            sig = pa.array([x.tobytes() for x in least], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(signed(c[0])), pa.array(signed(c[1])), sig], schema=schema)
 
     return run
@@ -97,31 +126,20 @@ def _step(node: np.ndarray, tokens: np.ndarray, level: int) -> np.ndarray:
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
-    whole = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), 4 * COORDINATES + EXTRA)
-    return np.ascontiguousarray(whole[:, : 4 * COORDINATES]).view(np.uint32)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), COORDINATES)
 
 
 _NODE = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
 
 
-def _root_walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        tokens = _tokens(batch.column("sig"))
-        for tree in range(TREES):
-            node = seeded(np.full(len(batch), tree, np.uint64), 500)
-            for level in range(FIRST):
-                node = _step(node, tokens, level)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(node)), batch.column("id"), batch.column("n")], schema=_NODE)
-
-
-def _deeper(level: int, to: int, ways: int):
+def _walk(stage: int, levels: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, here = _tokens(batch.column("sig")), batch.column("node").to_numpy().view(np.uint64)
-            for way in range(ways):
-                node = seeded(here, 600 + way)
-                for step in range(level, to):
-                    node = _step(node, tokens, step)
+            tokens = _tokens(batch.column("sig"))
+            for tree in range(trees):
+                node = seeded(np.full(len(batch), tree, np.uint64), 500 + stage)
+                for level in range(levels):
+                    node = _step(node, tokens, level)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(node)), batch.column("id"), batch.column("n")], schema=_NODE)
 
     return run
@@ -161,8 +179,7 @@ def _shared_nodes(nodes: DataFrame) -> DataFrame:
 
 def _agreeing(percent: int) -> int:
     """Equal tokens below which a pair is out of the question."""
-    p, n = percent / 100, COORDINATES + EXTRA
-    return int(n * p - 4.2 * (n * p * (1 - p)) ** 0.5)
+    return int(np.searchsorted(np.cumsum(_agree(percent)), MISS, "right"))
 
 
 def _compare(percent: int):
@@ -172,8 +189,7 @@ def _compare(percent: int):
 
     def pairs(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         node, ident, n, root, pivot, far = (rows.column(c).to_numpy() for c in ("node", "id", "n", "root", "pivot", "far"))
-        whole = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(rows), -1)
-        token = np.concatenate([whole[:, 0 : 4 * COORDINATES : 4], whole[:, 4 * COORDINATES :]], 1)
+        token = _tokens(rows.column("sig"))
         lists = rows.column("nodes")
         length = np.diff(lists.offsets.to_numpy())
         nodes = np.full((len(rows), length.max(initial=0)), np.iinfo(np.int64).max)
@@ -224,10 +240,11 @@ def _compare(percent: int):
 def _first_common(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The least node that both rows of each pair stand in; there the pair is reported, and nowhere else."""
     out = np.empty(len(left), np.int64)
-    for a in range(0, len(left), 1024):
-        mine = nodes[left[a : a + 1024]]
-        shared = (mine[:, :, None] == nodes[right[a : a + 1024]][:, None, :]).any(2)
-        out[a : a + 1024] = mine[np.arange(len(mine)), shared.argmax(1)]
+    step = max(1, (1 << 25) // max(nodes.shape[1], 1) ** 2)
+    for a in range(0, len(left), step):
+        mine = nodes[left[a : a + step]]
+        shared = (mine[:, :, None] == nodes[right[a : a + step]][:, None, :]).any(2)
+        out[a : a + step] = mine[np.arange(len(mine)), shared.argmax(1)]
     return out
 
 
@@ -248,7 +265,7 @@ def _candidates(members: DataFrame, about: DataFrame, percent: int) -> DataFrame
     split = members.filter(F.col("m") > SMALL).withColumn("own", own).withColumn("to", F.explode(meets))
     whole = members.filter(F.col("m") <= SMALL).withColumn("to", F.col("node"))
     placed = whole.select("to", "id", "n", "root").unionByName(split.select("to", "id", "n", "root"))
-    # A document stands in one node of each branch of a tree (or in one row of blocks), so its list is short.
+    # A document stands in one node of each tree (or in one row of blocks), so its list is short.
     placed = cut(placed.withColumnRenamed("to", "node"))
     listed = placed.groupBy("id").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
     rows = placed.join(listed.join(about, "id"), "id")
@@ -296,6 +313,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``id``, ``n`` (size of the set) and ``component`` of each row."""
+    stages = plan(percent)
     texts = docs.select(_identity().alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     sketches = cut(texts.mapInArrow(_sketch(width), "id long, n long, c1 long, c2 long, sig binary"))
     # Equal sets first: a class of copies goes on as its smallest id. An empty set is alone.
@@ -306,7 +324,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     member = cut(labelled.select("id", "n", "rep"))
     reps = cut(labelled.filter("id = rep and n > 0").select("id", "n", "sig"))
 
-    shared = cut(_shared_nodes(reps.mapInArrow(_root_walk, "node long, id long, n long")))
+    shared = cut(_shared_nodes(reps.mapInArrow(_walk(0, *stages[0]), "node long, id long, n long")))
     sets = cut(texts.join(shared.select("id").distinct(), "id").mapInArrow(_sets(width), "id long, n long, s array<long>"))
 
     votes = shared.filter("pivot < id").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("votes"))
@@ -318,17 +336,16 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def rooted(nodes: DataFrame) -> DataFrame:
         return cut(nodes.select("node", "id", "n").join(root, "id", "left").select("node", "id", "n", F.coalesce("root", "id").alias("root")))
 
-    parts, open_nodes, level = [], rooted(shared), FIRST
-    for to, ways in [*DEEPER, (None, None)]:
+    parts, open_nodes = [], rooted(shared)
+    for stage in range(1, len(stages) + 1):
         members = cut(open_nodes.join(_divided(open_nodes), "node"))
         large = members.filter(F.col("m") > SMALL)
-        if to is None or large.isEmpty():
+        if stage == len(stages) or large.isEmpty():
             parts.append(members)
             break
         parts.append(members.filter(F.col("m") <= SMALL))
-        rows = large.select("node", "id").join(reps, "id").select("node", "id", "n", "sig")
-        open_nodes = rooted(rows.mapInArrow(_deeper(level, to, ways), "node long, id long, n long"))
-        level = to
+        again = reps.join(large.select("id").distinct(), "id").select("id", "n", "sig")
+        open_nodes = rooted(again.mapInArrow(_walk(stage, *stages[stage]), "node long, id long, n long"))
     compared = parts[0]
     for p in parts[1:]:
         compared = compared.unionByName(p)

@@ -129,6 +129,22 @@ def test_near_crowd(spark, monkeypatch):
         assert found == expected
 
 
+def test_near_links_in_crowd(spark, monkeypatch):
+    """Pairs exactly at the threshold, each tied by that link alone, among texts of one crowd whose first nodes are all large."""
+    percent, core, common = 80, 304, 8
+    total = (core + common) * (100 + percent) // (2 * percent)
+    base, rows = [f"b{i}" for i in range(core + 4)], []
+    for i in range(100):
+        tie = [f"t{i}y{k}" for k in range(common)]
+        for side in range(2):
+            rows.append((2 * i + side, " ".join(base + tie + [f"s{i}y{side}y{k}" for k in range(total - core - common)])))
+    both = core + common
+    assert 100 * both == percent * (2 * total - both) and 100 * core < percent * (2 * total - core)
+    monkeypatch.setattr(near, "SMALL", 24)
+    found = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, percent).collect()}
+    assert [i for i in found if found[i] != i - i % 2] == []
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 3), (7, 5), (None, 4), (5, 6), (6, 7), (9, 8)] + [(100, i) for i in range(101, 160)] + [(i, i + 1) for i in range(200, 240)]
     found = {r.id: r.root for r in components.stars(spark.createDataFrame(links, "a long, b long")).collect()}
