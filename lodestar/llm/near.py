@@ -62,10 +62,11 @@ def _trees(percent: int, levels: int) -> int:
 
 
 def plan(percent: int) -> list[tuple[int, int]]:
-    """Levels and trees of each stage. The first is fixed."""
+    """Levels and trees of each stage. A pair at the threshold shares a node of the first in about a quarter of the trees."""
     if not 10 <= percent <= 100:
         raise ValueError(f"percent must be from 10 to 100, not {percent}")
-    stages = [(6, 40), (9, _trees(percent, 9))]
+    first = 16 if percent > 91 else max(1, round(6 * log(0.8) / log(percent / 100)))
+    stages = [(levels, _trees(percent, levels)) for levels in (first, first + (first + 1) // 2)]
     return stages[:1] + [s for s in stages[1:] if s[1] <= MOST_TREES]
 
 

@@ -129,6 +129,23 @@ def test_near_crowd(spark, monkeypatch):
         assert found == expected
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_recall(percent):
+    """The trees keep what is stated at every threshold; the formula is that of walks over shared tokens."""
+    assert sum(near.missed(percent, *stage) for stage in near.plan(percent)) + near.MISS <= 1e-5
+    r, few, pairs = np.random.default_rng(percent), 10, 5000
+    left = r.integers(0, 256, (pairs, near.COORDINATES), dtype=np.uint8)
+    right = np.where(r.random(left.shape) < percent / 100, left, left + np.uint8(1))
+    shared = np.zeros(pairs, bool)
+    for tree in range(few):
+        a = b = near.seeded(np.arange(pairs, dtype=np.uint64) * np.uint64(few) + np.uint64(tree), 500)
+        for level in range(near.plan(percent)[0][0]):
+            a, b = near._step(a, left, level), near._step(b, right, level)
+        shared |= a == b
+    expected = near.missed(percent, near.plan(percent)[0][0], few)
+    assert abs((~shared).mean() - expected) < 5 * (expected / pairs) ** 0.5
+
+
 def test_near_links_in_crowd(spark, monkeypatch):
     """Pairs exactly at the threshold, each tied by that link alone, among texts of one crowd whose first nodes are all large."""
     percent, core, common = 80, 304, 8
