@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.llm import exact, fingerprints, mixing, near, pieces, quality, sharding, substrings, toxicity, urls
+from lodestar.llm import containers, exact, fingerprints, middle, mixing, near, periods, pieces, quality, sharding, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -160,3 +161,44 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), pieces.Vocabulary.load(pieces.MODEL_FILE))
+
+
+@_query("op11_html_extraction")
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query(
+    "op12_fill_in_middle",
+    """
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS draw FROM documents
+    ), draws AS (
+        SELECT doc_id, text, n, ('0x' || substr(draw, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(draw, 9, 8))::BIGINT % (n + 1) AS y,
+               ('0x' || substr(draw, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(draw, 25, 8))::BIGINT % 100 AS h4
+        FROM texts
+    ), cuts AS (
+        SELECT *, least(x, y) AS a, greatest(x, y) AS b,
+               CASE WHEN n = 0 OR h3 >= 90 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                    WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM draws
+    ), parts AS (
+        SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cuts
+    )
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+    """,
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arranged = middle.fill_in_middle(_table(spark, sf_dir, "documents"), seed=1)
+    restored = middle.restore(F.col("output"), F.col("form"))
+    return arranged.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+@_query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.collapse_runs(_table(spark, sf_dir, "documents"), repeated_tails=True).drop("n_words", "n_dropped")
