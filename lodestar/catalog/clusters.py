@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.catalog import Catalog, table
-from lodestar.operators import cluster, dbscan, learn
+from lodestar.operators import cluster, dbscan, learn, radii, ward
 
 catalog = Catalog()
 PART_COLS = ["p_size", "p_retailprice"]
@@ -89,13 +89,17 @@ WIDE_EPS, WIDE_MIN_SAMPLES = 1.12, 4
      {_CLUSTER_STEPS} SELECT v.vec_id AS id, coalesce(cluster, -1) AS cluster FROM embeddings v LEFT JOIN numbered ON numbered.id = vec_id""",
 )
 def _(spark, sf):
-    """The same in 64 dimensions, where blocks take the place of the grid."""
+    """The same in 64 dimensions, where cells around pivots take the place of the grid."""
     return dbscan.dbscan(_embeddings(spark, sf), WIDE_EPS, WIDE_MIN_SAMPLES, 64).select("id", "cluster")
 
 
+#: 24 radii around the knee of the k-distances, and seven densities.
+GRID_EPS, GRID_MIN_SAMPLES = [round(1.16 + 0.005 * i, 3) for i in range(24)], [4, 5, 6, 8, 10, 12, 15]
+
+
 @catalog.add("dbscan_grid")
 def _(spark, sf):
-    return dbscan.dbscan_grid(_parts(spark, sf), [0.06, 0.1], [4, 8], 2, clusters=(1, 10_000))
+    return radii.dbscan_grid(_embeddings(spark, sf), GRID_EPS, GRID_MIN_SAMPLES, clusters=(2, 5), max_noise=0.5, top=10)
 
 
 @catalog.add(
@@ -141,13 +145,13 @@ def _(spark, sf):
 
 @catalog.add("ward_micro")
 def _(spark, sf):
-    return cluster.cluster_sizes(cluster.ward(_embeddings(spark, sf), 3), "cluster")
+    return cluster.cluster_sizes(ward.ward(_embeddings(spark, sf), 3), "cluster")
 
 
 @catalog.add("gmm")
 def _(spark, sf):
     pts = _parts(spark, sf)
-    return cluster.cluster_sizes(cluster.kmeans_labels(pts, cluster.gmm(pts, 3)), "cluster")
+    return cluster.cluster_sizes(cluster.gmm_labels(pts, cluster.gmm(pts, 3)), "cluster")
 
 
 @catalog.add("gmm_bic")
@@ -193,14 +197,13 @@ def _(spark, sf):
 
 @catalog.add("method_table")
 def _(spark, sf):
-    """K-means, Ward, mixture (on two components) and density clustering against the true labels."""
+    """K-means, Ward, mixture and density clustering of all features against the true labels."""
     pts = _embeddings(spark, sf)
-    flat = cluster.pca2(pts).select("id", "label", F.array("pc1", "pc2").alias("x"))
     return cluster.compare_methods(
         {
             "k-means": cluster.kmeans_labels(pts, cluster.kmeans(pts, 10)),
-            "ward": cluster.ward(pts, 10),
-            "mixture": cluster.kmeans_labels(flat, cluster.gmm(flat, 10)),
+            "ward": ward.ward(pts, 10),
+            "mixture": cluster.gmm_labels(pts, cluster.gmm(pts, 10)),
             "density": dbscan.dbscan(pts, WIDE_EPS, WIDE_MIN_SAMPLES, 64),
         },
         "cluster",

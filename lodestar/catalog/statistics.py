@@ -67,9 +67,9 @@ def _(spark, sf):
     shares = []
     for i in range(3):
         shares += [F.avg((F.col("l_extendedprice") < row[i]).cast("double")).alias(f"lo{i}"), F.avg((F.col("l_extendedprice") <= row[i]).cast("double")).alias(f"hi{i}")]
-    slack = 1.0 / ordered.SKETCH_ACCURACY + 1e-9
+    slack = F.lit(1.0 / ordered.SKETCH_ACCURACY + 1e-9) + 1 / F.col("rows")  # the sketch's error, and one row
     held = [F.struct(F.lit(p).alias("p"), ((F.col(f"lo{i}") <= p + slack) & (F.col(f"hi{i}") >= p - slack)).alias("within")) for i, p in enumerate((0.25, 0.5, 0.75))]
-    return prices.agg(*shares).select(F.inline(F.array(*held)))
+    return prices.agg(F.count(F.lit(1)).alias("rows"), *shares).select(F.inline(F.array(*held)))
 
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

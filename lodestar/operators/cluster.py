@@ -6,15 +6,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from lodestar.operators import metric, mixture
 from lodestar.operators.tiles import sample_rows, tile_join
+from lodestar.session import cut
 
 NOISE = -1
 
@@ -42,7 +43,7 @@ def kmeans(pts: DataFrame, k: int, seeds: int = 10, seed: int = 42) -> KMeansMod
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def kmeans_labels(pts: DataFrame, model: KMeansModel | GaussianMixtureModel, out: str = "cluster") -> DataFrame:
+def kmeans_labels(pts: DataFrame, model: KMeansModel, out: str = "cluster") -> DataFrame:
     return model.setPredictionCol(out).transform(with_vector(pts)).select(*pts.columns, out)
 
 
@@ -58,71 +59,24 @@ def kmeans_sweep(pts: DataFrame, ks: Sequence[int], seeds: int = 10, silhouettes
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def gmm(pts: DataFrame, k: int, seeds: int = 5, seed: int = 42) -> GaussianMixtureModel:
-    """Best of several random starts by likelihood (a single start often ends in a poor optimum).
+def gmm(pts: DataFrame, k: int, seed: int = 42) -> mixture.Mixture:
+    """Gaussian mixture with full covariances, started from k-means."""
+    return mixture.fit(pts, k, seed)
 
-    The library stops on the change of the total likelihood, so the tolerance is stated per row:
-    otherwise no large table would ever meet it.
-    """
-    data = with_vector(pts).persist()
-    try:
-        tol = 1e-3 * max(1, data.count())
-        models = [GaussianMixture(k=k, seed=seed + i, maxIter=100, tol=tol).fit(data) for i in range(seeds)]
-    finally:
-        data.unpersist()
-    return max(models, key=lambda m: m.summary.logLikelihood)
+
+def gmm_labels(pts: DataFrame, model: mixture.Mixture, out: str = "cluster") -> DataFrame:
+    return mixture.labels(pts, model, out)
 
 
-def gmm_bic(pts: DataFrame, ks: Sequence[int], seeds: int = 5) -> DataFrame:
+def gmm_bic(pts: DataFrame, ks: Sequence[int]) -> DataFrame:
     """Bayesian information criterion per number of components (full covariances)."""
-    n = pts.count()
-    d = len(pts.first()["x"])
-    rows = []
+    n, rows = pts.count(), []
     for k in ks:
-        likelihood = gmm(pts, k, seeds).summary.logLikelihood
-        free = (k - 1) + k * d + k * d * (d + 1) // 2
-        rows.append((k, float(likelihood), float(free * np.log(n) - 2 * likelihood)))
+        model = gmm(pts, k)
+        rows.append((k, model.log_likelihood, float(mixture.bic(model, n))))
     return pts.sparkSession.createDataFrame(rows, "k int, log_likelihood double, bic double")
 
 
-def _ward_merges(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Merge weighted centres by Ward's criterion until k groups are left; group per centre.
-
-    ``cost`` holds the growth of the squared error for every merge. After a merge the costs of
-    the new group follow from the old ones and the weights.
-    """
-    w = weights.astype(float).copy()
-    gaps = ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
-    cost = gaps * np.outer(w, w) / (w[:, None] + w[None, :])
-    np.fill_diagonal(cost, np.inf)
-    group = np.arange(len(centres))
-    for _ in range(len(centres) - k):
-        a, b = sorted(np.unravel_index(np.argmin(cost), cost.shape))
-        open_ = np.isfinite(cost[a]) & np.isfinite(cost[b])
-        merged = ((w[a] + w) * cost[a] + (w[b] + w) * cost[b] - w * cost[a, b]) / (w[a] + w[b] + w)
-        cost[a, :] = cost[:, a] = np.where(open_, merged, np.inf)
-        cost[b, :] = cost[:, b] = np.inf
-        w[a] += w[b]
-        group[group == b] = a
-    return np.unique(group, return_inverse=True)[1]
-
-
-def ward(pts: DataFrame, k: int, micro: int = 200, seed: int = 42) -> DataFrame:
-    """Hierarchical clustering (Ward) of any number of rows.
-
-    The rows are first reduced to ``micro`` weighted centres by k-means on the cluster; only
-    these (a fixed number) are merged on the driver, and the small map goes back to the rows.
-    """
-    model = KMeans(k=micro, seed=seed, maxIter=20).fit(with_vector(pts))
-    placed = kmeans_labels(pts, model, "_micro")
-    sizes = {r["_micro"]: r["count"] for r in placed.groupBy("_micro").count().collect()}
-    used = sorted(sizes)
-    centres = np.array([model.clusterCenters()[i] for i in used])
-    groups = _ward_merges(centres, np.array([sizes[i] for i in used]), k)
-    mapping = pts.sparkSession.createDataFrame([(m, int(g)) for m, g in zip(used, groups)], "_micro int, cluster int")
-    return placed.join(F.broadcast(mapping), "_micro").select(*pts.columns, "cluster")
-
-
 def pca2(pts: DataFrame) -> DataFrame:
     """First two principal components of the centred points.
 
@@ -187,39 +141,38 @@ def silhouette_squared(labelled: DataFrame, label: str) -> DataFrame:
 
 
 def k_distance(pts: DataFrame, k: int, sample: int | None = None, seed: int = 42) -> DataFrame:
-    """Distance of every point to its k-th nearest point, itself counted, in ascending order."""
+    """Distance of every point to its k-th nearest point, itself counted, in ascending order.
+
+    Points look into the cells of a metric index that can hold a nearer one. ``sample`` asks for that many
+    points only, still among all. With fewer than ``k`` points there is no such distance and no row.
+    """
+    index = metric.build(pts.select("id", "x"))
     queries = sample_rows(pts, sample, seed) if sample else pts
+    wanted = index.table.join(queries.select("x").distinct(), "x", "left_semi") if sample else index.table
+    best = metric.k_nearest(index, wanted, k).filter(F.size("best") == k)
+    kth = index.table.join(best, "i").select("x", F.sqrt(F.get("best", F.lit(k - 1))).alias("distance"))
+    return queries.select("id", "x").join(kth, "x").select("id", "distance").orderBy("distance", "id")
 
-    def nearest(q: pd.DataFrame, batches) -> pd.DataFrame:
-        best = np.empty((len(q), 0))
-        for _, d2 in batches:
-            best = np.concatenate([best, d2], axis=1)
-            if best.shape[1] > k:
-                best = np.partition(best, k - 1, axis=1)[:, :k]
-        return pd.DataFrame({"id": np.repeat(q["id"].to_numpy(), best.shape[1]), "d2": best.ravel()})
 
-    found = tile_join(queries.select("id", "x"), pts.select("id", "x"), nearest, "id long, d2 double")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("d2"))
-    kth = found.withColumn("_r", place).filter(F.col("_r") <= k).filter(F.col("_r") == k)
-    return kth.select("id", F.sqrt("d2").alias("distance")).orderBy("distance", "id")
+# --- agreement of two partitions ------------------------------------------------------------
 
 
-# --- agreement of two partitions ------------------------------------------------------------
+def _cells(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Contingency table: ``a``, ``b``, ``n``."""
+    return df.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
-def _contingency(df: DataFrame, a: str, b: str) -> DataFrame:
+def _with_margins(cells: DataFrame) -> DataFrame:
     """Cells with their margins and the number of cells each margin has."""
-    cells = df.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("n"))
     of_a = cells.groupBy("a").agg(F.sum("n").alias("na"), F.count(F.lit(1)).alias("ka")).withColumnRenamed("a", "of_a")
     of_b = cells.groupBy("b").agg(F.sum("n").alias("nb"), F.count(F.lit(1)).alias("kb")).withColumnRenamed("b", "of_b")
     both = cells.join(of_a, F.col("a").eqNullSafe(F.col("of_a"))).join(of_b, F.col("b").eqNullSafe(F.col("of_b")))
-    return both.select("n", "na", "nb", "ka", "kb")
+    return both.select("a", "b", "n", "na", "nb", "ka", "kb")
 
 
-def ari(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Adjusted Rand index from the contingency counts (each margin enters once per its cells)."""
+def _ari(margins: DataFrame) -> DataFrame:
     pairs = lambda c: F.col(c) * (F.col(c) - 1) / 2
-    sums = _contingency(df, a, b).agg(
+    sums = margins.agg(
         F.sum(pairs("n")).alias("both"),
         F.sum(pairs("na") / F.col("ka")).alias("in_a"),
         F.sum(pairs("nb") / F.col("kb")).alias("in_b"),
@@ -230,11 +183,9 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
     return sums.select(F.when(bottom == 0, 1.0).otherwise(top / bottom).alias("ari"))
 
 
-def nmi(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Mutual information over the arithmetic mean of both entropies."""
-    cells = _contingency(df, a, b)
-    total = cells.agg(F.sum("n")).scalar()
-    shares = cells.withColumn("t", total)
+def _nmi(margins: DataFrame) -> DataFrame:
+    total = margins.agg(F.sum("n")).scalar()
+    shares = margins.withColumn("t", total)
     n, na, nb, t = (F.col(c) for c in ("n", "na", "nb", "t"))
     sums = shares.agg(
         F.sum(n / t * F.log(n * t / (na * nb))).alias("mi"),
@@ -245,6 +196,16 @@ def nmi(df: DataFrame, a: str, b: str) -> DataFrame:
     return sums.select(F.when(mean == 0, 1.0).otherwise(F.col("mi") / mean).alias("nmi"))
 
 
+def ari(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Adjusted Rand index from the contingency counts (each margin enters once per its cells)."""
+    return _ari(_with_margins(_cells(df, a, b)))
+
+
+def nmi(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Mutual information over the arithmetic mean of both entropies."""
+    return _nmi(_with_margins(_cells(df, a, b)))
+
+
 def cluster_sizes(df: DataFrame, label: str) -> DataFrame:
     """Rows per cluster and the share of noise, repeated in every row."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
@@ -253,14 +214,17 @@ def cluster_sizes(df: DataFrame, label: str) -> DataFrame:
 
 
 def compare_methods(labelled: dict[str, DataFrame], label: str, truth: str) -> DataFrame:
-    """One row per method: clusters found, noise share, agreement with the true labels."""
+    """One row per method: clusters found, noise share, agreement with the true labels.
+
+    Each labelling is computed once, for its contingency table; everything else follows from that.
+    """
     table = None
     for name, df in labelled.items():
-        counts = df.agg(
-            F.count_distinct(F.when(F.col(label) != NOISE, F.col(label))).alias("clusters"),
-            F.avg((F.col(label) == NOISE).cast("double")).alias("noise_share"),
+        margins = cut(_with_margins(_cells(df, truth, label)))
+        counts = margins.agg(
+            F.count_distinct(F.when(F.col("b") != NOISE, F.col("b"))).alias("clusters"),
+            (F.sum(F.when(F.col("b") == NOISE, F.col("n")).otherwise(0)) / F.sum("n")).alias("noise_share"),
         )
-        row = counts.select(F.lit(name).alias("method"), "clusters", "noise_share",
-                            ari(df, truth, label).scalar().alias("ari"), nmi(df, truth, label).scalar().alias("nmi"))
+        row = counts.select(F.lit(name).alias("method"), "clusters", "noise_share", _ari(margins).scalar().alias("ari"), _nmi(margins).scalar().alias("nmi"))
         table = row if table is None else table.unionByName(row)
     return table

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.operators import cluster, dbscan, learn, tiles
+from lodestar.operators import cluster, dbscan, graph, learn, metric, mixture, radii, tiles, ward
 
 
 @pytest.fixture(scope="module")
@@ -153,19 +153,84 @@ def test_dense_cells_link_only_when_points_touch(spark):
         assert {r["cluster"] for r in rows} == set(range(clusters))
 
 
-def test_dbscan_grid_ranks_by_silhouette(spark):
-    rng = np.random.default_rng(2)
-    x = np.concatenate([rng.normal(c, 0.1, (40, 2)) for c in (0, 3, 6)])
-    rows = dbscan.dbscan_grid(_frame(spark, x), [0.2, 0.4, 30.0], [4], 2).collect()
-    assert rows[0]["n_clusters"] == 3 and rows[0]["silhouette"] > 0.8
-    assert [r["silhouette"] for r in rows] == sorted((r["silhouette"] for r in rows), reverse=True)
-    assert 30.0 not in {r["eps"] for r in rows}
-
-
-def _brute_silhouette(x, label):
+def test_dense_slots_link_by_parts(spark, monkeypatch):
+    """Cells cut into small slots: parts grow together across slots and cells, in any number of dimensions."""
+    monkeypatch.setattr(metric, "SLOT", 10)
+    monkeypatch.setattr(metric.build, "__defaults__", (24, 8192, 42))
+    x = _blobs(np.random.default_rng(7), 6)
+    rows = dbscan.dbscan(_frame(spark, x), 0.3, 6, 6).collect()
+    assert [r["cluster"] for r in sorted(rows, key=lambda r: r["id"])] == _brute_dbscan(x, 0.3, 6)
+
+
+def test_core_points(spark):
+    x = _blobs(np.random.default_rng(9), 3)
+    n = (_distances(x) <= 0.2).sum(1)
+    got = {r["id"]: r["neighbours"] for r in dbscan.core_points(_frame(spark, x), 0.2, 5).collect()}
+    assert got == {i: c for i, c in enumerate(n) if c >= 5}
+
+
+def _kruskal(edges):
+    root, kept = {}, []
+
+    def find(v):
+        while root.get(v, v) != v:
+            v = root[v]
+        return v
+
+    for w, a, b in sorted((w, min(a, b), max(a, b)) for a, b, w in edges):
+        if find(a) != find(b):
+            root[find(a)] = find(b)
+            kept.append((a, b, w))
+    return sorted(kept)
+
+
+def test_spanning_forest(spark):
+    rng = np.random.default_rng(3)
+    for n, m in ((2, 1), (12, 30), (40, 90)):
+        pairs = {(min(a, b), max(a, b)) for a, b in rng.integers(0, n, (m, 2)).tolist() if a != b} | {(0, 1)}
+        edges = [(a, b, float(rng.integers(0, 4))) for a, b in sorted(pairs)]
+        a, b, w = map(np.array, zip(*edges))
+        kept = radii.local_forest(a, b, w)
+        assert sorted(zip(a[kept].tolist(), b[kept].tolist(), w[kept].tolist())) == _kruskal(edges)
+    both = edges + [(b, a, w + 1) for a, b, w in edges] + [(5, 5, 0.0)]
+    got = graph.spanning_forest(spark.createDataFrame(both, "src long, dst long, weight double")).collect()
+    assert sorted(map(tuple, got)) == _kruskal(edges)
+    assert graph.spanning_forest(spark.createDataFrame([], "src long, dst long, weight double")).count() == 0
+
+
+def test_grid_equals_single_runs(spark, monkeypatch):
+    """Every pair of the grid: the clusters, the noise and all labels of a run of its own."""
+    monkeypatch.setattr(metric.build, "__defaults__", (24, 8192, 42))
+    df = _frame(spark, _blobs(np.random.default_rng(2), 2))
+    x = np.array([r["x"] for r in sorted(df.collect(), key=lambda r: r["id"])])
+    eps_list, counts = [0.1, 0.2, 0.4, 0.6], [1, 4, 12]
+    table, chosen = radii.label_grid(df, eps_list, counts, (1, 40), 0.9)
+    found = {(r["pair"], r["id"]): r["label"] for r in df.join(table, "x").collect()}
+    want = {}
+    for eps in eps_list:
+        for m in counts:
+            label = np.array(_brute_dbscan(x, eps, m))
+            if 1 <= label.max() + 1 <= 40 and (label < 0).sum() < 0.9 * len(x):
+                want[eps, m] = label
+    assert {c[:2]: c[2:] for c in chosen} == {p: (label.max() + 1, (label < 0).sum()) for p, label in want.items()}
+    for k, (eps, m, *_) in enumerate(chosen):
+        roots = [found.get((k, i), -1) for i in range(len(x))]
+        names = {r: n for n, r in enumerate(sorted(set(roots) - {-1}))}
+        assert [names.get(r, -1) for r in roots] == want[eps, m].tolist()
+    best = radii.dbscan_grid(df, eps_list, counts, top=3).collect()
+    assert [r["silhouette"] for r in best] == sorted((r["silhouette"] for r in best), reverse=True)
+    for r in best:
+        label = want[r["eps"], r["min_samples"]]
+        assert r["silhouette"] == pytest.approx(_brute_silhouette(x, label, squared=True)) and 2 <= r["n_clusters"] <= 5
+    plain = radii.dbscan_grid(df, [0.6], [12], plain=True).collect()
+    assert [r["silhouette"] for r in plain] == [pytest.approx(_brute_silhouette(x, want[0.6, 12]))]
+    assert radii.dbscan_grid(df, [1e-9], [5]).collect() == []
+
+
+def _brute_silhouette(x, label, squared=False):
     keep = label >= 0
     x, label = x[keep], label[keep]
-    dist = _distances(x)
+    dist = _distances(x) ** (2 if squared else 1)
     scores = []
     for i in range(len(x)):
         own = label == label[i]
@@ -179,7 +244,7 @@ def _brute_silhouette(x, label):
 
 
 @pytest.mark.parametrize("block", [5000, 37])
-def test_silhouette_and_k_distance_by_blocks(spark, monkeypatch, block):
+def test_silhouette_by_blocks(spark, monkeypatch, block):
     rng = np.random.default_rng(4)
     x, label = rng.normal(0, 1, (150, 3)), rng.integers(-1, 4, 150)
     label[0] = 9
@@ -189,8 +254,29 @@ def test_silhouette_and_k_distance_by_blocks(spark, monkeypatch, block):
     assert row["n"] == (label >= 0).sum() and row["silhouette"] == pytest.approx(_brute_silhouette(x, label))
     sampled = cluster.silhouette(df, "label", sample=20).first()
     assert sampled["n"] == 20
-    got = [r["distance"] for r in cluster.k_distance(df, 4).collect()]
-    assert got == pytest.approx(np.sort(np.sort(_distances(x), axis=1)[:, 3]).tolist())
+
+
+@pytest.mark.parametrize("n, d, cells", [(600, 2, 16), (300, 5, 64), (30, 3, 256)])
+def test_k_distance(spark, monkeypatch, n, d, cells):
+    monkeypatch.setattr(metric.build, "__defaults__", (cells, 8192, 42))
+    monkeypatch.setattr(metric, "SLOT", 50)
+    monkeypatch.setattr(metric, "TASK_QUERIES", 40)
+    x = np.round(np.random.default_rng(4).normal(0, 1, (n, d)), 2)
+    x[: n // 5] = x[0]
+    df = _frame(spark, x)
+    for k in (4, 40):
+        got = [r["distance"] for r in cluster.k_distance(df, k).collect()]
+        assert got == pytest.approx(np.sort(np.sort(_distances(x), axis=1)[:, k - 1]).tolist() if k <= n else [])
+    assert cluster.k_distance(df, 4, sample=9).count() == 9 and cluster.k_distance(df.limit(0), 4).count() == 0
+
+
+def test_queries_visit_few_cells(spark, monkeypatch):
+    """In the plane a small radius reaches into the neighbouring cells only."""
+    monkeypatch.setattr(metric.build, "__defaults__", (20, 8192, 42))
+    x = np.random.default_rng(4).uniform(0, 1, (4000, 2))
+    index = metric.build(_frame(spark, x))
+    share = metric.visited_share(index, index.within(index.table.select("x", "cell"), 0.01))
+    assert len(index.cells.weight) == 200 and share < 0.05
 
 
 def test_agreement_measures(spark):
@@ -206,41 +292,87 @@ def test_agreement_measures(spark):
     assert cluster.ari(df, "a", "b").first()["ari"] == pytest.approx(want)
 
 
-def test_centre_methods_find_separate_groups(spark):
+@pytest.fixture(scope="module")
+def groups(spark):
     rng = np.random.default_rng(7)
     truth = np.repeat([0, 1, 2], 50)
-    x = rng.normal(0, 0.3, (150, 2)) + np.array([[0, 0], [4, 0], [0, 4]])[truth]
-    df = _frame(spark, x, truth=truth)
+    return _frame(spark, rng.normal(0, 0.3, (150, 2)) + np.array([[0, 0], [4, 0], [0, 4]])[truth], truth=truth).cache()
+
+
+def test_methods_find_separate_groups(groups):
     table = cluster.compare_methods(
-        {
-            "k-means": cluster.kmeans_labels(df, cluster.kmeans(df, 3, seeds=3)),
-            "ward": cluster.ward(df, 3, micro=30),
-            "mixture": cluster.kmeans_labels(df, cluster.gmm(df, 3)),
-            "density": dbscan.dbscan(df, 0.6, 5, 2),
-        },
-        "cluster",
-        "truth",
-    ).collect()
-    assert all(r["ari"] > 0.9 for r in table)
-    sweep = cluster.kmeans_sweep(df, [2, 3, 4], seeds=3).collect()
+        {"k-means": cluster.kmeans_labels(groups, cluster.kmeans(groups, 3, seeds=2)), "ward": ward.ward(groups, 3),
+         "density": dbscan.dbscan(groups, 0.6, 5, 2)}, "cluster", "truth")
+    rows = {r["method"]: r for r in table.collect()}
+    assert all(r["ari"] > 0.9 and r["nmi"] > 0.8 and r["clusters"] == 3 for r in rows.values())
+    assert rows["ward"]["noise_share"] == 0
+
+
+def test_sweep_finds_the_number_of_groups(groups):
+    sweep = cluster.kmeans_sweep(groups, [2, 3, 4], seeds=2).collect()
     assert [r["inertia"] for r in sweep] == sorted((r["inertia"] for r in sweep), reverse=True)
     assert max(sweep, key=lambda r: r["silhouette"])["k"] == 3
-    assert cluster.gmm_bic(df, [1 + 1, 3]).orderBy("bic").first()["k"] == 3
-
-
-def test_ward_merges_like_the_definition():
-    rng = np.random.default_rng(1)
-    x = rng.normal(0, 1, (25, 2))
-    groups = [[i] for i in range(25)]
-    spread = lambda g: ((x[g] - x[g].mean(0)) ** 2).sum()
-    while len(groups) > 4:
-        i, j = min(
-            ((i, j) for i in range(len(groups)) for j in range(i)),
-            key=lambda p: spread(groups[p[0]] + groups[p[1]]) - spread(groups[p[0]]) - spread(groups[p[1]]),
-        )
-        groups[j] += groups.pop(i)
-    got = cluster._ward_merges(x, np.ones(25), 4)
-    assert {frozenset(g) for g in groups} == {frozenset(np.flatnonzero(got == c)) for c in set(got)}
+
+
+def test_mixture_finds_separate_groups(groups):
+    model = cluster.gmm(groups, 3)
+    assert cluster.ari(cluster.gmm_labels(groups, model), "cluster", "truth").first()["ari"] > 0.9
+    assert cluster.gmm_bic(groups, [2, 3]).orderBy("bic").first()["k"] == 3
+
+
+def test_mixture_steps_like_the_textbook(spark):
+    """A few steps from the same start against responsibilities written out, with fewer rows than dimensions in a component."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1, (40, 5)) + 50, rng.normal(4, 2, (4, 5)) + 50])
+    df = _frame(spark, x)
+    start = mixture.Mixture(np.array([0.5, 0.5]), x[[0, 43]], np.stack([np.eye(5)] * 2))
+    model = start
+    for _ in range(3):
+        model = mixture._step(df, model, 1e-6, hard=False)
+    weights, means, covs = start.weights, start.means, start.covariances
+    for _ in range(3):
+        gaps = x[:, None] - means
+        power = -0.5 * np.einsum("nki,kij,nkj->nk", gaps, np.linalg.inv(covs), gaps)
+        p = weights * np.exp(power) / np.sqrt(np.linalg.det(2 * np.pi * covs))
+        likelihood, r = np.log(p.sum(1)).sum(), p / p.sum(1, keepdims=True)
+        weights, means = r.mean(0), (r.T @ x) / r.sum(0)[:, None]
+        gaps = x[:, None] - means
+        covs = np.einsum("nk,nki,nkj->kij", r, gaps, gaps) / r.sum(0)[:, None, None] + 1e-6 * np.eye(5)
+    assert model.weights == pytest.approx(weights) and model.means == pytest.approx(means) and model.log_likelihood == pytest.approx(likelihood)
+    assert model.covariances == pytest.approx(covs, rel=1e-6, abs=1e-7)
+
+
+def _brute_ward(x, k):
+    """Merge the cheapest pair, one at a time."""
+    groups, mean, size = [[i] for i in range(len(x))], x.copy(), np.ones(len(x))
+    alive = np.ones(len(x), bool)
+    for _ in range(len(x) - k):
+        cost = size[:, None] * size / (size[:, None] + size) * _distances(mean) ** 2
+        cost[~alive], cost[:, ~alive] = np.inf, np.inf
+        np.fill_diagonal(cost, np.inf)
+        a, b = sorted(np.unravel_index(cost.argmin(), cost.shape))
+        mean[a] = (size[a] * mean[a] + size[b] * mean[b]) / (size[a] + size[b])
+        size[a] += size[b]
+        groups[a] += groups[b]
+        alive[b] = False
+    return {frozenset(groups[i]) for i in np.flatnonzero(alive)}
+
+
+@pytest.mark.parametrize("per_cell", [1000, 20])
+def test_ward_equals_the_definition(spark, monkeypatch, per_cell):
+    monkeypatch.setattr(ward, "CELL_GROUPS", per_cell)
+    x = np.random.default_rng(1).normal(0, 1, (100, 3))
+    x[:10] = x[0]
+    got = {}
+    for r in ward.ward(_frame(spark, x), 5).collect():
+        got.setdefault(r["cluster"], set()).add(r["id"])
+    assert sorted(got) == list(range(5)) and set(map(frozenset, got.values())) == _brute_ward(x, 5)
+
+
+def test_ward_of_few_points(spark):
+    df = _frame(spark, np.array([[0.0], [0.0], [1.0]]))
+    assert sorted(map(tuple, ward.ward(df, 5).select("id", "cluster").collect())) == [(0, 0), (1, 0), (2, 1)]
+    assert {r["cluster"] for r in ward.ward(df, 1).collect()} == {0}
 
 
 def test_pca_of_centred_points(spark):
