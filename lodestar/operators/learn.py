@@ -14,7 +14,7 @@ from pyspark.ml import Model, Pipeline
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +22,15 @@ from pyspark.sql import functions as F
 Fit = Callable[[DataFrame], Model]
 
 
+def levels(df: DataFrame, cols: Sequence[str], most: int = 1000) -> dict[str, list]:
+    """The levels of categorical columns in order, nulls left out. They become columns, so more than ``most`` is an error."""
+    found = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
+    wide = [c for c in cols if len(found[c]) > most]
+    if wide:
+        raise ValueError(f"more than {most} levels in {wide}: code them by one_hot")
+    return {c: found[c] for c in cols}
+
+
 def dummies(df: DataFrame, levels: dict[str, Sequence]) -> DataFrame:
     """0/1 columns for the given levels of each categorical column without the first one in order; the categories go."""
     named = {
@@ -94,6 +103,11 @@ def random_forest(label: str, trees: int = 300, depth: int = 30, seed: int = 42)
     return forest.fit
 
 
+def stump(label: str) -> Fit:
+    """A tree without a split: it predicts the mean of its training rows."""
+    return DecisionTreeRegressor(labelCol=label, maxDepth=0).fit
+
+
 def boosting(label: str, rounds: int = 100, seed: int = 42) -> Fit:
     return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed).fit
 
