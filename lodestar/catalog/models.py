@@ -171,12 +171,12 @@ def _(spark, sf):
 
 @catalog.add("rf_cv")
 def _(spark, sf):
-    return _part_scores(spark, sf, lambda features: learn.random_forest("p_retailprice", trees=40, depth=6))
+    return _part_scores(spark, sf, lambda features: learn.random_forest("p_retailprice"))
 
 
 @catalog.add("gbt_cv")
 def _(spark, sf):
-    return _part_scores(spark, sf, lambda features: learn.boosting("p_retailprice", rounds=10))
+    return _part_scores(spark, sf, lambda features: learn.boosting("p_retailprice"))
 
 
 @catalog.add("poly_cv")
@@ -273,7 +273,7 @@ def _(spark, sf):
 
 def _linear_models(numbers, every):
     return {
-        "linear, first features": foldwise.Linear(numbers[:2]),
+        "linear, 2 features": foldwise.Linear(numbers[:2]),
         "linear, numbers": foldwise.Linear(numbers),
         "linear, all": foldwise.Linear(every),
         "ridge": foldwise.Ridge(every, learn.log_spaced(-3, 3, 20)),
@@ -282,6 +282,18 @@ def _linear_models(numbers, every):
     }
 
 
+@catalog.add("model_table")
+def _(spark, sf):
+    """Linear models of growing feature sets, the penalised and the polynomial ones, forest and boosting, on the same folds."""
+    frame, features = _parts(spark, sf)
+    linear = foldwise.cv_table(frame, _linear_models(features[:2], features), "p_retailprice", learn.fold_of("p_partkey", 5))
+    trees = {
+        "forest": _part_scores(spark, sf, lambda _: learn.random_forest("p_retailprice")),
+        "boosting": _part_scores(spark, sf, lambda _: learn.boosting("p_retailprice")),
+    }
+    return linear.unionByName(learn.model_table(trees)).orderBy(F.desc("r2"), "model")
+
+
 @catalog.add(
     "study",
     """WITH x AS (SELECT l_orderkey % 5 = 0 AS held, (l_orderkey // 5) % 5 AS f, l_quantity AS a, l_discount AS b, l_extendedprice AS y FROM lineitem),
@@ -326,5 +338,5 @@ def _(spark, sf):
     rows = learn.assemble(table(spark, sf, "part"), ["p_size", "p_retailprice"])
     indexed = StringIndexer(inputCol="p_type", outputCol="label_index", stringOrderType="alphabetAsc").fit(rows).transform(rows)
     train, test = learn.split(indexed, learn.fold_of("p_partkey", 5) == 0)
-    scored = learn.forest_classifier("label_index", trees=50)(train).transform(test)
+    scored = learn.forest_classifier("label_index")(train).transform(test)
     return scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label_index")).cast("double")).alias("accuracy"))
