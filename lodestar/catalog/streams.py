@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lodestar.catalog import Catalog, table
@@ -34,8 +35,30 @@ def _settings(spark, **conf):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: No micro-batch takes more files or bytes than this, however much has piled up.
+RATE = {"maxFilesPerTrigger": "64"}
+
+
 def _events_stream(spark, sf):
-    return spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    return spark.readStream.schema(table(spark, sf, "events").schema).options(**RATE).parquet(f"{sf}/events*.parquet")
+
+
+def _delivered(spark, rows, times=4, by="ts"):
+    """``rows`` as they would arrive: one delivery of files after the other, in the order of a column."""
+    path = scratch(spark, "delivered")
+    stops = rows.agg(F.percentile_approx(by, [i / times for i in range(1, times)])).first()[0] or []
+    place = F.lit(0)
+    for stop in stops:
+        place = place + (F.col(by) > F.lit(stop)).cast("int")
+    for number in range(times):
+        part = rows.filter(place == number)
+        part.write.mode("append").parquet(path)
+    return path
+
+
+def _arriving(spark, path, schema):
+    """The deliveries as a stream that takes a file per micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
 
 
 def _log_stream(spark, sf):
@@ -101,11 +124,69 @@ def _alert_view(df):
 def _(spark, sf):
     out = scratch(spark, "alerts")
     with _settings(spark, spark__sql__streaming__stateStore__providerClass=jobs.ROCKSDB):
-        alerts = jobs.stream_change_alert(_ticks(spark, sf), "user_id", ["ts", "event_id"], "value")
+        alerts = jobs.stream_change_alert(_ticks(spark, sf), "user_id", ["ts", "event_id"], "value", bucket=F.date_trunc("week", "ts"))
         _finish(alerts, "parquet", options={"path": out})
     return _alert_view(spark.read.parquet(out))
 
 
+_HOT_USER = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+
+
+@catalog.add("stream_change_alert_hot", f"WITH hot AS (SELECT * REPLACE ({_HOT_USER} AS user_id) FROM events), {CHANGE_ALERT_SQL[5:].replace('FROM events', 'FROM hot')}")
+def _(spark, sf):
+    """One key has a third of all events, which arrive over several micro-batches."""
+    ticks = table(spark, sf, "events").select(F.expr(_HOT_USER).alias("user_id"), "ts", "event_id", "value")
+    path, out = _delivered(spark, ticks), scratch(spark, "alerts")
+    with _settings(spark, spark__sql__streaming__stateStore__providerClass=jobs.ROCKSDB):
+        stream = _arriving(spark, path, ticks.schema)
+        _finish(jobs.stream_change_alert(stream, "user_id", ["ts", "event_id"], "value", bucket=F.date_trunc("week", "ts")), "parquet", options={"path": out})
+    return _alert_view(spark.read.parquet(out))
+
+
+@catalog.add("stream_resume", "SELECT event_id, user_id, event_type, value, CAST(count(*) AS INTEGER) AS times FROM events GROUP BY ALL")
+def _(spark, sf):
+    """A reader that stops half way and starts again reads on where its checkpoint is: every message once."""
+    rows = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    path, progress, out = _delivered(spark, rows, by="event_id"), scratch(spark, "progress"), scratch(spark, "resumed")
+    read = 0
+
+    def half(batch, epoch):
+        nonlocal read
+        if read >= 2:
+            raise RuntimeError("the reader is stopped here")
+        sinks.write_epoch(batch, out, epoch)
+        read += 1
+
+    def rest(batch, epoch):
+        sinks.write_epoch(batch, out, epoch)
+
+    first = sinks.start_query(_arriving(spark, path, rows.schema), half, progress, trigger=sinks.EVERYTHING_THEN_STOP)
+    try:
+        first.awaitTermination()
+    except StreamingQueryException as stopped:
+        if "the reader is stopped here" not in str(stopped):
+            raise
+    second = sinks.start_query(_arriving(spark, path, rows.schema), rest, progress, trigger=sinks.EVERYTHING_THEN_STOP)
+    second.awaitTermination()
+    return sinks.read_epochs(spark, out).groupBy("event_id", "user_id", "event_type", "value").agg(F.count(F.lit(1)).cast("int").alias("times"))
+
+
+_BOTH_SQL = """SELECT {source} AS source, event_type, count(*) AS messages,
+       CAST(round(CAST(sum(CASE WHEN value > 90 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) * 100) AS INTEGER) AS pct FROM events GROUP BY event_type"""
+
+
+@catalog.add("counts_batch_and_stream", _BOTH_SQL.format(source="'batch'") + " UNION ALL " + _BOTH_SQL.format(source="'stream'"))
+def _(spark, sf):
+    """The same function over the table and over the stream of its rows."""
+    counts = lambda events: jobs.stream_counts(events.select("event_type", "value"), "event_type", F.col("value") > 90)
+    rows = table(spark, sf, "events").select("event_id", "event_type", "value")
+    stream = _arriving(spark, _delivered(spark, rows, by="event_id"), rows.schema)
+    streamed = sinks.last_epoch(spark, _into_epochs(counts(stream), "complete"))
+    both = {"batch": counts(rows), "stream": streamed}
+    parts = [df.select(F.lit(name).alias("source"), "event_type", "messages", "pct") for name, df in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @catalog.add("stream_change_alert_table", CHANGE_ALERT_SQL)
 def _(spark, sf):
     target = scratch(spark, "alert-table")

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -30,16 +32,27 @@ def stream_counter(messages: DataFrame, key: str) -> DataFrame:
     return counter(messages, key)
 
 
+def _judge(frame: pd.DataFrame, value: str, pct: float, strict: bool) -> tuple[pd.DataFrame, np.ndarray]:
+    """A frame with ``previous`` and its changes, and which rows moved by at least ``pct`` percent."""
+    base = frame["previous"].where(frame["previous"] != 0)
+    frame = frame.assign(change_pct=(frame[value] - base) / base * 100)
+    size = frame["change_pct"].abs()
+    frame["direction"] = np.where(frame["change_pct"] > 0, "up", "down")
+    return frame, ((size > pct) if strict else (size >= pct)).to_numpy()
+
+
 def stream_change_alert(
-    messages: DataFrame, key: str, order: Sequence[str], value: str, pct: float = 0.05, strict: bool = False
+    messages: DataFrame, key: str, order: Sequence[str], value: str, pct: float = 0.05, strict: bool = False, bucket: Column | None = None
 ) -> DataFrame:
     """Alerts of a keyed stream: value moved by at least ``pct`` percent since the key's last one.
 
-    The last value per key is checkpointed state, so a restart loses nothing; the first message
-    of a key emits nothing. Within a micro-batch a key's messages are put in ``order``, of which
-    only the listed columns travel to Python. The source's rate limit bounds a micro-batch; for
-    keys that dominate a batch use :func:`lodestar.streaming.sinks.alert_batch`, which splits
-    them. The session must use the RocksDB provider (:data:`ROCKSDB`) when the query starts.
+    Within a micro-batch a key's messages are put in ``order`` (only the listed columns travel to Python), one
+    ``bucket`` at a time: an expression that rises with the order, such as the minute of a time stamp, so that a
+    key which dominates the stream spreads over tasks and none holds more than one bucket of it. A bucket leaves its alerts and
+    its two ends; the ends alone are then read key by key, and the first row of a bucket is compared with the last value before
+    it. That value is checkpointed state, one per key, so a restart loses nothing; the first message of a key emits
+    nothing. A rate limit of the source bounds a micro-batch. The session must use the RocksDB provider (:data:`ROCKSDB`)
+    when the query starts.
     """
     order = list(order)
     fields = {f.name: f.dataType for f in messages.schema.fields}
@@ -48,29 +61,47 @@ def stream_change_alert(
     for name in names:
         schema = schema.add(name, fields[name])
     schema = schema.add("previous", "double").add("change_pct", "double").add("direction", "string")
+    # Names of a grouped function's columns must not begin with an underscore.
+    ends = StructType(list(schema.fields)).add("bucket_end", "double")
+
+    def inside(rows: pa.Table) -> pa.Table:
+        rows = rows.select(names).sort_by([(c, "ascending") for c in order])
+        values = rows.column(value).to_numpy().astype(float)
+        base = np.concatenate([[np.nan], values[:-1]])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            change = np.where(base != 0, (values - base) / base * 100, np.nan)
+        hit = np.abs(change) > pct if strict else np.abs(change) >= pct
+        # The first row stands for the bucket and carries its last value; whether it is an alert is not known yet.
+        hit[0] = True
+        place = np.flatnonzero(hit)
+        for name, column in (("previous", base), ("change_pct", change), ("direction", np.where(change > 0, "up", "down")),
+                             ("bucket_end", np.where(np.arange(len(values)) == 0, values[-1], np.nan))):
+            rows = rows.append_column(name, pa.array(column, from_pandas=True))
+        return rows.take(pa.array(place))
 
     class LastValue(StatefulProcessor):
         def init(self, handle) -> None:
             self.last = handle.getValueState("last", "value double")
 
         def handleInputRows(self, keys, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-            batch = pd.concat(list(rows), ignore_index=True).sort_values(order, ignore_index=True)
-            before = self.last.get()[0] if self.last.exists() else None
-            batch["previous"] = batch[value].shift(1)
-            if before is not None:
-                batch.loc[0, "previous"] = before
-            self.last.update((float(batch[value].iloc[-1]),))
-            base = batch["previous"].where(batch["previous"] != 0)
-            batch["change_pct"] = (batch[value] - base) / base * 100
-            size = batch["change_pct"].abs()
-            hits = batch[(size > pct) if strict else (size >= pct)].copy()
-            hits["direction"] = hits["change_pct"].gt(0).map({True: "up", False: "down"})
-            yield hits[[*names, "previous", "change_pct", "direction"]]
+            firsts = []
+            for chunk in rows:
+                first = chunk["bucket_end"].notna()
+                yield chunk[~first][schema.names]
+                firsts.append(chunk[first])
+            edge = pd.concat(firsts).sort_values(order, ignore_index=True)  # one row per bucket
+            edge["previous"] = edge["bucket_end"].shift(1)
+            if self.last.exists():
+                edge.loc[0, "previous"] = self.last.get()[0]
+            self.last.update((float(edge["bucket_end"].iloc[-1]),))
+            edge, hit = _judge(edge, value, pct, strict)
+            yield edge[hit][schema.names]
 
         def close(self) -> None:
             pass
 
-    return messages.select(*names).groupBy(key).transformWithStateInPandas(
+    buckets = messages.select(*names, (F.lit(0) if bucket is None else bucket).alias("_bucket")).groupBy(key, "_bucket")
+    return buckets.applyInArrow(inside, ends).groupBy(key).transformWithStateInPandas(
         statefulProcessor=LastValue(), outputStructType=schema, outputMode="Append", timeMode="None"
     )
 

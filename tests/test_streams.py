@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,24 @@ def test_state_survives_a_restart(spark):
     assert got == _expected_alerts(spark)
 
 
+def test_alerts_of_a_hot_key_over_buckets_and_batches(spark):
+    """Buckets of a key are judged apart and joined by their ends, within a micro-batch and across them."""
+    rng = random.Random(4)
+    rows = [(rng.choice("aaaab"), t, float(rng.choice([0, 1, 2, 100, 101]))) for t in range(300)]
+    source, out = scratch(spark, "source"), scratch(spark, "out")
+    for start in range(0, 300, 70):
+        _deliver(spark, source, rng.sample(rows[start : start + 70], len(rows[start : start + 70])))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
+    try:
+        alerts = jobs.stream_change_alert(_open(spark, source), "k", ["t"], "v", 0.5, bucket=F.floor(F.col("t") / 9))
+        _run(alerts, "parquet", scratch(spark, "progress"), options={"path": out})
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    want = window.change_alert(spark.createDataFrame(rows, DDL), "k", ["t"], "v", F.lit(0), 0.5)
+    columns = ["k", "t", "v", "previous", "direction"]
+    assert sorted(map(tuple, spark.read.parquet(out).select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+
+
 def test_table_alerts_survive_replay(spark):
     target = scratch(spark, "alerts")
     for epoch, rows in enumerate((FIRST, SECOND, THIRD)):
