@@ -384,4 +384,4 @@ def _(spark, sf):
 
 @catalog.add("perm_test")
 def _(spark, sf):
-    return bi.permutation_test(table(spark, sf, "customer"), "c_mktsegment", "c_nationkey", 1000)
+    return bi.permutation_test(table(spark, sf, "customer"), "c_mktsegment", "c_nationkey", 9999)

@@ -8,6 +8,7 @@ only one total per slice is combined globally.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -189,6 +190,36 @@ def _narrowed(data: DataFrame, probs: dict[str, float], by: list[str]) -> DataFr
     return ranks.groupBy(*by).agg(*aggs)
 
 
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Exact quantiles of several columns: ``column`` and one named column each, a row per column that has values.
+
+    As in :func:`quantile_columns`, for all columns side by side: one pass sketches them, one counts what lies below
+    each window, and only values inside a window become rows to be ranked.
+    """
+    spark, margin = df.sparkSession, 2 / SKETCH_ACCURACY
+    numbers = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    marks = F.array(*[F.lit(v) for p in probs.values() for v in (max(0.0, p - margin), min(1.0, p + margin))])
+    sketch = numbers.agg(*[F.percentile_approx(c, marks, F.lit(SKETCH_ACCURACY)).alias(c) for c in numbers.columns]).first()
+    windows = [(i, w, p, *sketch[i][2 * w : 2 * w + 2]) for i in range(len(cols)) if sketch[i] for w, p in enumerate(probs.values())]
+    sizes = [F.count(c).alias(f"n{i}") for i, c in enumerate(numbers.columns)]
+    parts = [(F.sum((F.col(f"_{i}") < lo).cast("long")).alias(f"b{i}_{w}"), F.sum((F.col(f"_{i}") <= hi).cast("long")).alias(f"u{i}_{w}")) for i, w, _, lo, hi in windows]
+    counts = numbers.agg(*sizes, *[c for pair in parts for c in pair]).first()
+    held = [(i, w, counts[f"b{i}_{w}"], (counts[f"n{i}"] - 1) * p) for i, w, p, *_ in windows]
+    if not all(below <= math.floor(rank) and counts[f"u{i}_{w}"] > math.ceil(rank) for i, w, below, rank in held):
+        return quantile_columns(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value"), "value", probs, ["column"])
+    places = [F.when(F.col(f"_{i}").between(lo, hi), F.struct(F.lit(i).alias("_c"), F.lit(w).alias("_w"), F.col(f"_{i}").alias("_x"))) for i, w, _, lo, hi in windows]
+    if not places:
+        return spark.createDataFrame([], ", ".join(["column string", *[f"{name} double" for name in probs]]))
+    near = numbers.select(F.explode(F.filter(F.array(*places), lambda e: e.isNotNull())).alias("_e")).select("_e.*")
+    known = F.broadcast(spark.createDataFrame(held, "_c int, _w int, _b long, _rank double"))  # a row per column and quantile
+    ranks = value_ranks(near, "_x", ["_c", "_w"]).join(known, ["_c", "_w"])
+    upto, rank = F.col("_b") + F.col("below") + F.col("n"), F.col("_rank")
+    low, high = F.min(F.when(upto > F.floor(rank), F.col("_x"))), F.min(F.when(upto > F.ceil(rank), F.col("_x")))
+    each = ranks.groupBy("_c", "_w").agg((low + (high - low) * F.max(rank - F.floor(rank))).alias("_q"))
+    named = F.get(F.array(*map(F.lit, cols)), F.col("_c")).alias("column")
+    return each.groupBy("_c").agg(*[F.max(F.when(F.col("_w") == w, F.col("_q"))).alias(name) for w, name in enumerate(probs)]).select(named, *probs)
+
+
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Long table (group, ``p``, ``q``): exact by default, sketch based with ``approx``."""
     by = list(by)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.ordered import _attach, prefix_sum, quantile_columns
+from lodestar.operators.ordered import _attach, prefix_sum, quantile_columns, quantile_table
 from lodestar.operators.project import unpivot_row
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -29,15 +29,13 @@ def modes(df: DataFrame, col: str) -> DataFrame:
 def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: count, mean, std (n-1), min, exact quartiles, max.
 
-    One pass gives the moments of every column, the quartiles share another set of passes over
-    (column, value) pairs.
+    One pass gives the moments of every column; the quartiles of all columns share two more.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     row = numbers.agg(*[F.struct(*[f(c).alias(m) for m, f in measures.items()]).alias(c) for c in cols])
     base = row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in cols])))
-    long = numbers.unpivot([], list(cols), "column", "value")
-    marks = quantile_columns(long, "value", QUARTILES, ["column"])
+    marks = quantile_table(df, cols, QUARTILES)
     # A column of nulls has no quartiles but a row.
     return base.join(marks, "column", "left").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
