@@ -151,3 +151,17 @@ def test_tail_probabilities():
     assert pvalues._t_two_sided(3.5, 1001) == pytest.approx(0.000485753569, rel=1e-8)
     assert pvalues._chi2_tail(18.307038053, 10) == pytest.approx(0.05, abs=1e-9)
     assert pvalues._chi2_tail(5.0, 2) == pytest.approx(np.exp(-2.5))
+
+
+def test_quantiles_of_several_columns(spark, monkeypatch):
+    """All columns side by side, with nulls, ties and a column of nulls; also where a window misses its quantile."""
+    rng = np.random.default_rng(8)
+    rows = [(float(rng.integers(0, 5)), None if i % 3 else float(rng.normal()), None) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    probs = {"q1": 0.25, "q2": 0.5, "q9": 0.93}
+    columns = {c: [r[i] for r in rows if r[i] is not None] for i, c in enumerate("ab")}
+    want = {c: np.quantile(v, list(probs.values())).tolist() for c, v in columns.items()}
+    for accuracy in (ordered.SKETCH_ACCURACY, 10**9):  # the second one's windows hold one value, so quantiles between two are missed
+        monkeypatch.setattr(ordered, "SKETCH_ACCURACY", accuracy)
+        found = {r["column"]: [r[p] for p in probs] for r in ordered.quantile_table(df, ["a", "b", "c"], probs).collect()}
+        assert found.keys() == want.keys() and all(found[c] == pytest.approx(want[c]) for c in want)
