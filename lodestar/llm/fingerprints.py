@@ -1,10 +1,12 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
-Every paragraph is hashed to a wide vector: ``WIDE`` lanes of 64 random bits, added modulo 2^64,
-for equality, and ``THIN`` lanes of +1 or -1, added modulo 2^16, for likeness. A fingerprint is
+Every paragraph is hashed to a wide vector. ``WIDE`` lanes of 64 bits, each a hash of the paragraph's bytes with a key
+of its own, are added modulo 2^64, for equality. ``THIN`` lanes are added modulo 2^16, for likeness: the sum of the
+paragraph's pieces, each of them +1 or -1 in every lane. A piece ends after a word that one in ``PIECE`` words is like, so
+pieces do not depend on what stands elsewhere, and texts of a single sentence have some too. A fingerprint is
 the sum over paragraphs, so order does not matter, and paragraphs are added or taken away by
 adding or subtracting their vectors. The squared length of a difference of thin lanes, divided by
-their number, estimates the size of the difference of two multisets of paragraphs.
+their number, estimates the size of the difference of two multisets of pieces.
 """
 
 from __future__ import annotations
@@ -21,52 +23,68 @@ from lodestar.llm.ranks import cuts_at_or_below
 from lodestar.llm.text import flat, names, seeded, slices
 
 WIDE, THIN = 4, 128
-_HEX = WIDE * 16 + THIN * 4
+#: Words of a piece on average.
+PIECE = 3
+#: Key of each wide lane's hash, and of the hashes of words and pieces.
+KEYS, WORD_KEY, PIECE_KEY = [101, 211, 307, 401], 503, 601
 
 
-def vectors(paragraph_names: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Wide and thin vectors of paragraphs, from two independent names of each."""
-    wide = np.stack([seeded(paragraph_names ^ seeded(second, 3), 11 + k) for k in range(WIDE)], 1)
-    bits = np.stack([seeded(second + seeded(paragraph_names, 5), 31 + k) for k in range(THIN // 64)], 1)
-    thin = np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").astype(np.int16) * np.int16(2) - np.int16(1)
-    return wide, thin
+def signs(piece_names: np.ndarray) -> np.ndarray:
+    """Thin vectors of pieces: +1 or -1 in every lane."""
+    bits = np.stack([seeded(piece_names, 31 + k) for k in range(THIN // 64)], 1)
+    return np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").view(np.int8) * np.int8(2) - np.int8(1)
+
+
+def _bounds(inside: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches inside, which also end at edges; nothing is inside at the last place."""
+    before = np.concatenate([[False], inside[:-1]])
+    return np.flatnonzero(inside & (~before | edge)), np.flatnonzero(before & (~inside | edge))
 
 
-def _paragraphs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of the paragraphs of all rows, and the row of each. A paragraph ends at a line end or
-    after a full stop, question or exclamation mark before white space; empty ones do not count."""
+def units(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``WIDE`` names of each paragraph of all rows, its row, names of all pieces, their rows.
+
+    A paragraph ends at a line end or after a full stop, question or exclamation mark before white space; empty
+    ones do not count. A paragraph of spaces alone has no piece.
+    """
     data, offsets = flat(column)
     body = data[: int(offsets[-1])]
     line = (body == 10) | (body == 13)
     stop = np.zeros(len(body), bool)
     if len(body):
         stop[1:] = ((body[:-1] == 46) | (body[:-1] == 33) | (body[:-1] == 63)) & ((body[1:] == 32) | (body[1:] == 9))
-    cut = line | stop
-    inside = np.append(~cut, False)
-    edge = np.zeros(len(inside), bool)
+        stop[offsets[:-1][offsets[:-1] < len(body)]] = False  # the row before does not matter
+    edge = np.zeros(len(body) + 1, bool)
     edge[offsets] = True
-    before = np.concatenate([[False], inside[:-1]])
-    starts, ends = np.flatnonzero(inside & (~before | edge)), np.flatnonzero(before & (~inside | edge))
-    row = np.searchsorted(offsets, starts, "right") - 1
-    return names(data, starts, ends, 1), names(data, starts, ends, 2), row
+    starts, ends = _bounds(np.append(~(line | stop), False), edge)
+    own = np.stack([names(data, starts, ends, key) for key in KEYS], 1)
+    word, word_end = _bounds(np.append(~(line | stop | (body == 32) | (body == 9)), False), edge)
+    # A piece's last word: a chosen one, or the last of its paragraph.
+    of = np.searchsorted(starts, word, "right")
+    last = names(data, word, word_end, WORD_KEY) % np.uint64(PIECE) == 0
+    last |= np.append(of[1:] != of[:-1], True)[: len(last)]
+    first = np.concatenate([[True], last[:-1]])[: len(last)]
+    piece, piece_end = word[first], word_end[last]
+    row = lambda at: np.searchsorted(offsets, at, "right") - 1
+    return own, row(starts), names(data, piece, piece_end, PIECE_KEY), row(piece)
 
 
 def sums(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of all rows: wide lanes (uint64) and thin lanes (int16)."""
-    one, two, row = _paragraphs(column)
+    own, row, pieces, piece_row = units(column)
     wide, thin = np.zeros((len(column), WIDE), np.uint64), np.zeros((len(column), THIN), np.int16)
     first = np.flatnonzero(np.diff(row, prepend=-1))
-    for start in range(0, len(first), 4096):  # some thousand documents at a time bound the vectors in memory
-        some = first[start : start + 4096]
-        end = first[start + 4096] if start + 4096 < len(first) else len(row)
-        w, t = vectors(one[some[0] : end], two[some[0] : end])
-        wide[row[some]] = np.add.reduceat(w, some - some[0], axis=0)
-        thin[row[some]] = np.add.reduceat(t, some - some[0], axis=0, dtype=np.int16)
+    if len(first):
+        wide[row[first]] = np.add.reduceat(own, first, axis=0)
+    for start in range(0, len(pieces), 1 << 16):  # so many vectors at a time bound the memory, also within a long text
+        at = piece_row[start : start + (1 << 16)]
+        some = np.flatnonzero(np.diff(at, prepend=-1))
+        thin[at[some]] += np.add.reduceat(signs(pieces[start : start + (1 << 16)]), some, axis=0, dtype=np.int16)
     return wide, thin
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """0 to 1 from thin lanes: one less the share of paragraphs that only one side has; 1 if both are empty."""
+    """0 to 1 from thin lanes: one less the share of pieces that only one side has; 1 if both are empty."""
     a, b = a.astype(np.int64), b.astype(np.int64)
     apart = (a - b).astype(np.int16).astype(np.int64)  # modulo 2^16, nearest to zero
     size = (a * a).sum(1) + (b * b).sum(1)
@@ -140,12 +158,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(pending: list) -> pa.RecordBatch:
         ids, texts, following = (list(x) for x in zip(*pending))
         edited = [t[: len(t) - len(t) // 3] + n[: len(t) // 3] for t, n in zip(texts, following)]
-        own, changed, other = (sums(pa.array(x, pa.large_string())) for x in (texts, edited, following))
+        # The text after a row is mostly the next row's own.
+        strange = [i for i in range(len(texts)) if i + 1 == len(texts) or following[i] is not texts[i + 1]]
+        wide, thin = sums(pa.array(texts + [following[i] for i in strange], pa.large_string()))
+        place = np.arange(1, len(texts) + 1)
+        place[strange] = len(texts) + np.arange(len(strange))
+        changed = sums(pa.array(edited, pa.large_string()))
         return pa.RecordBatch.from_pydict({
             "doc_id": pa.array(ids, pa.int64()), "n_chars": pa.array(map(len, texts), pa.int64()),
             "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in edited],
-            "fingerprint": as_text(*own), "edited_fingerprint": as_text(*changed),
-            "near_edited": likeness(own[1], changed[1]), "near_next": likeness(own[1], other[1])})
+            "fingerprint": as_text(wide[: len(texts)], thin[: len(texts)]), "edited_fingerprint": as_text(*changed),
+            "near_edited": likeness(thin[: len(texts)], changed[1]), "near_next": likeness(thin[: len(texts)], thin[place])})
 
     for batch in slices(batches, limit=1 << 20):
         pending = []

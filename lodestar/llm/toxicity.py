@@ -1,15 +1,17 @@
 """Toxicity classifier with a counterfactual penalty, in numpy.
 
 Features are hashed words and word beginnings. How often each occurs in toxic and in other
-documents is counted over a bounded sample of the labels; that gives every feature a first weight. A
-document's logit is a smooth maximum over its features, so its length does not matter. The
-weights are then refined: sentences that name a group are paired with the same
+documents is counted over a bounded sample of the labels; that gives every feature a first weight, which is never
+below 0. A document's logit is a smooth maximum over all its features, in which a weight of 0 counts nothing: words
+that speak for neither label add nothing, however long the text. The
+weights are then refined on the whole texts of a bounded sample: documents that name a group are paired with the same
 text naming another group, and a change of the logit between the two is penalised, so the name itself comes to
 weigh nothing.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,13 +39,13 @@ IDENTITY_TERMS = [
     ["mujeres", "hombres"], ["musulmanes", "cristianos", "judíos"],
 ]
 
-#: Hashed features, lengths in bytes of the word beginnings, features of a document that training looks at.
-BITS, BEGINNINGS, TOP = 21, (4, 5, 6, 7, 8), 48
-#: Labelled rows that features are counted over at most, and rows of these that refinement takes.
-SAMPLE_ROWS, REFINED_ROWS = 20000, 6000
+#: Hashed features, lengths in bytes of the word beginnings.
+BITS, BEGINNINGS = 21, (4, 5, 6, 7, 8)
+#: Labelled rows that features are counted over at most, and rows of these (with all their features) that refinement takes.
+SAMPLE_ROWS, REFINED_ROWS = 20000, 4000
 #: Documents' worth of doubt in a feature's first weight.
 _DOUBT = 10.0
-_SHARP = 2.0
+_SHARP = 3.0
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,13 +81,9 @@ class Model:
     bias: float
 
     def logits(self, feature: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-        """Smooth maximum of the weights of each row's distinct features; a row without features has weight 0."""
+        """Smooth maximum of 0 and the weights of each row's distinct features."""
         feature, row = _per_row(feature, row)
-        w = self.weight[feature].astype(np.float64)
-        top = np.zeros(rows)
-        np.maximum.at(top, row, w)
-        total = np.bincount(row, np.exp(_SHARP * (w - top[row])), rows) + np.exp(-_SHARP * top)
-        return self.bias + top + np.log(total) / _SHARP
+        return self.bias + np.log1p(np.bincount(row, np.expm1(_SHARP * self.weight[feature].astype(np.float64)), rows)) / _SHARP
 
     def scores(self, column: pa.Array) -> np.ndarray:
         return 1 / (1 + np.exp(-self.logits(*features(column), len(column))))
@@ -116,75 +114,67 @@ def first_weights(feature: np.ndarray, other: np.ndarray, toxic: np.ndarray, tot
 
 
 def exchanged(text: str, terms: list[list[str]]) -> str | None:
-    """The text with each group name replaced by the next of its line (only the letter case of ASCII is ignored); None without one."""
+    """The text with each group name (a run of letters, in any case) replaced by the next of its line, all else as it is; None without one."""
     following = {word: line[(i + 1) % len(line)] for line in terms for i, word in enumerate(line)}
-    words = text.split(" ")
-    out = [following.get(w.strip(".,;:!?").lower(), None) for w in words]
-    return " ".join(n if n else w for w, n in zip(words, out)) if any(out) else None
+    out = re.sub(r"[^\W\d_]+", lambda m: following.get(m[0].lower(), m[0]), text)
+    return out if out != text else None
 
 
-def _strongest(weight: np.ndarray, column: pa.Array) -> list[list[int]]:
-    """The ``TOP`` features of greatest first weight of each row."""
+def _speaking(weight: np.ndarray, column: pa.Array) -> list[np.ndarray]:
+    """The features of each row whose first weight is above 0."""
     feature, row = _per_row(*features(column))
-    order = np.lexsort((feature, -weight[feature], row))
-    feature, row = feature[order], row[order]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    feature, row = feature[place < TOP], row[place < TOP]
-    return np.split(feature, np.searchsorted(row, np.arange(1, len(column))))
+    some = weight[feature] > 0
+    return np.split(feature[some], np.searchsorted(row[some], np.arange(1, len(column))))
 
 
-def refine(weight: np.ndarray, samples: list[tuple[int, list[int], list[int] | None]], penalty: float, steps: int = 300) -> Model:
+def _joined(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """All lists in one array, and the list of each entry."""
+    return np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+
+
+def refine(weight: np.ndarray, samples: list[tuple[int, list[int], list[int] | None]], penalty: float, steps: int = 150) -> Model:
     """Adam on logistic loss, plus ``penalty`` times the mean square of what exchanging group names changes.
 
-    ``samples``: label, strongest features, and those of the exchanged text where there is one.
+    ``samples``: label, the features above 0, and those of the exchanged text where there is one. Weights
+    stay at or above 0.
     """
     if not samples:
         return Model(weight, -3.0)
-
-    def table(lists):
-        out = np.full((len(lists), TOP), 1 << BITS, np.int64)
-        for i, f in enumerate(lists):
-            out[i, : len(f)] = f
-        return out
-
     y = np.array([s[0] for s in samples], np.float64)
-    own, pairs = table([s[1] for s in samples]), [i for i, s in enumerate(samples) if s[2] is not None]
-    other = table([samples[i][2] for i in pairs])
-    used = np.unique(np.concatenate([own.ravel(), other.ravel(), [1 << BITS]]))
-    own, other = np.searchsorted(used, own), np.searchsorted(used, other)
-    w = np.append(weight, -1e9)[used].astype(np.float64)  # the last one fills up short lists
+    pairs = np.array([i for i, s in enumerate(samples) if s[2] is not None], np.int64)
+    (own, at), (other, at_other) = _joined([s[1] for s in samples]), _joined([samples[i][2] for i in pairs])
+    used, both = np.unique(np.concatenate([own, other]), return_inverse=True)
+    own, other = both[: len(own)], both[len(own) :]
+    w = weight[used].astype(np.float64)
     start = w.copy()
-    start[-1] = 0
     bias = np.array([-3.0])
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
 
-    def forward(ids):
-        values = np.concatenate([w[ids], np.zeros((len(ids), 1))], 1)
-        top = values.max(1, keepdims=True)
-        e = np.exp(_SHARP * (values - top))
-        total = e.sum(1, keepdims=True)
-        return top[:, 0] + np.log(total[:, 0]) / _SHARP, e[:, :-1] / total
+    def forward(ids, rows, n, raised):
+        total = 1 + np.bincount(rows, raised[ids] - 1, n)
+        return np.log(total) / _SHARP, total
 
     for step in range(1, steps + 1):
-        z, share = forward(own)
+        raised = np.exp(_SHARP * w)
+        z, total = forward(own, at, len(y), raised)
         slope = (1 / (1 + np.exp(-(z + bias))) - y) / len(y)
-        g = np.bincount(own.ravel(), (slope[:, None] * share).ravel(), len(w))
-        g_bias = slope.sum()
-        if pairs and penalty:
-            z2, share2 = forward(other)
+        per_row = slope.copy()
+        g = np.zeros_like(w)
+        if len(pairs) and penalty:
+            z2, total2 = forward(other, at_other, len(pairs), raised)
             gap = 2 * penalty * (z[pairs] - z2) / len(pairs)
-            g += np.bincount(own[pairs].ravel(), (gap[:, None] * share[pairs]).ravel(), len(w))
-            g -= np.bincount(other.ravel(), (gap[:, None] * share2).ravel(), len(w))
-        g += 2e-5 * (w - start) * (w > -1e8)
-        g[-1] = 0
+            per_row[pairs] += gap
+            g -= np.bincount(other, (gap / total2)[at_other], len(w))
+        g += np.bincount(own, (per_row / total)[at], len(w))
+        g = g * raised + 2e-5 * (w - start)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
-        w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9) * (w > -1e8)
-        mb += 0.1 * (g_bias - mb)
-        vb += 0.01 * (g_bias * g_bias - vb)
+        w = np.maximum(w - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9), 0)
+        mb += 0.1 * (slope.sum() - mb)
+        vb += 0.01 * (slope.sum() ** 2 - vb)
         bias -= 0.05 * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.99**step)) + 1e-9)
     out = weight.copy()
-    out[used[:-1]] = w[:-1]
+    out[used] = w
     return Model(out, float(bias[0]))
 
 
@@ -192,8 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1
         rows: int = SAMPLE_ROWS, refined: int = REFINED_ROWS, penalty: float = 1.0, terms: list[list[str]] | None = None) -> Model:
     """Count features over at most ``rows`` usable labels, then refine on at most ``refined`` of them.
 
-    The driver receives three numbers for each of at most 2^BITS features and ``TOP`` features per sampled
-    row, whatever the input. Without labels of both kinds every score is that of the share of toxic labels.
+    The driver receives three numbers for each of at most 2^BITS features, and of at most ``refined`` rows the distinct
+    features that speak for the label, of the whole text. Without labels of both kinds all scores are near 0 (no toxic label) or 1.
     """
     terms = IDENTITY_TERMS if terms is None else terms
     usable = training_labels(labels, label, modulus, remainder)
@@ -210,23 +200,27 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1
     weight = first_weights(*(speaking.column(c).to_numpy() for c in ("feature", "other", "toxic")), totals)
     sent = docs.sparkSession.sparkContext.broadcast(weight)
 
-    def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def speaking_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             swapped = [exchanged(t, terms) for t in batch.column("text").to_pylist()]
-            other = _strongest(sent.value, pa.array([s or "" for s in swapped], pa.large_string()))
+            other = _speaking(sent.value, pa.array([s or "" for s in swapped], pa.large_string()))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "y": batch.column("y"),
-                "own": pa.array(_strongest(sent.value, batch.column("text")), pa.list_(pa.int32())),
+                "own": pa.array(_speaking(sent.value, batch.column("text")), pa.list_(pa.int32())),
                 "other": pa.array([o if s is not None else None for o, s in zip(other, swapped)], pa.list_(pa.int32()))})
 
-    taken = texts.join(F.broadcast(sampled(usable, refined)), "doc_id").mapInArrow(strongest, "doc_id long, y int, own array<int>, other array<int>").collect()
+    taken = texts.join(F.broadcast(sampled(usable, refined)), "doc_id").mapInArrow(speaking_features, "doc_id long, y int, own array<int>, other array<int>").collect()
     # The order of rows that sums are taken in must not depend on the cluster.
     taken = sorted(taken, key=lambda r: (r["doc_id"], r["y"], r["own"]))[:refined]
     return refine(weight, [(r["y"], r["own"], r["other"]) for r in taken], penalty)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """All rows with their columns, ``score`` (0 to 1) and ``predicted`` (1 from the threshold on); a null text is empty."""
+    """All rows with their columns, ``score`` (0 to 1) and ``predicted`` (1 from the threshold on).
+
+    A null text is empty, and an empty text has the score of the bias alone. Repeated rows are scored each, an empty table
+    stays empty, own columns ``score`` and ``predicted`` are replaced.
+    """
     sent = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

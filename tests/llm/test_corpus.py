@@ -241,7 +241,21 @@ def test_counterfactual_penalty(spark):
         named, other, insult = model.scores(pa.array(["the muslims came home", "the christians came home", "that is stupid"]))
         gaps.append(abs(named - other))
     assert gaps[1] < gaps[0] / 2 and insult > 0.7 > named
-    assert toxicity.exchanged("Two Muslims, there", toxicity.IDENTITY_TERMS) == "Two christians there"
+    assert toxicity.exchanged("Two Muslims, there", toxicity.IDENTITY_TERMS) == "Two christians, there"
+    assert toxicity.exchanged('"Women"\n(men) women2', toxicity.IDENTITY_TERMS) == '"men"\n(girls) women2'
+    assert toxicity.exchanged("nobody", toxicity.IDENTITY_TERMS) is None
+
+
+def test_long_clean_texts_are_not_toxic(spark):
+    """Words of weight 0 add nothing, and few of the longest held-out clean documents are flagged."""
+    weight = np.zeros(1 << toxicity.BITS, np.float32)
+    model = toxicity.Model(weight, -2.0)
+    assert np.ptp(model.scores(pa.array(["", "a word", " ".join(f"w{i}" for i in range(50_000))]))) == 0
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity_scores(docs, labels).join(labels, "doc_id").join(docs.selectExpr("doc_id", "length(text) AS n"), "doc_id")
+    clean = sorted((r.n, r.predicted) for r in rows.filter("held_out AND toxic = 0").collect())
+    tail = clean[-len(clean) // 10 :]
+    assert sum(p for _, p in tail) <= 0.04 * len(tail)
 
 
 def test_pipeline_stages(spark, odd, small):

@@ -1,6 +1,7 @@
 """Substring, exact and near deduplication and fingerprints against brute force."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from lodestar.llm import components, exact, fingerprints, near, substrings
+from lodestar.llm.text import names
 
 
 def kept_words(texts, width):
@@ -180,6 +182,33 @@ def test_fingerprint_algebra(spark, none, odd):
     assert fingerprints.fingerprint(none).count() == 0 and fingerprints.fingerprint(odd).count() == odd.count()
 
 
+def test_fingerprints_against_plain_addition(small):
+    """Lane by lane: each paragraph's own hash, and +1 or -1 for each piece, found with regular expressions."""
+    name = lambda unit, key: names(*(lambda b: (np.frombuffer(b + bytes(16), np.uint8), np.array([0]), np.array([len(b)])))(unit), key)[0]
+    texts = ["", " ", "a", "One two. Three!  Four\n\n five\tsix? x", "é ü. ", " led by a space", "same words same words same words"] + [r.text for r in small.limit(40).collect()]
+    wide, thin = fingerprints.sums(pa.array(texts, pa.large_string()))
+    for i, text in enumerate(texts):
+        total, likes = [0] * fingerprints.WIDE, np.zeros(fingerprints.THIN, np.int64)
+        for paragraph in re.findall(rb"(?:(?<![.!?])[ \t]|[^ \t\n\r])+", text.encode()):
+            for k, key in enumerate(fingerprints.KEYS):
+                total[k] = (total[k] + int(name(paragraph, key))) % 2**64
+            begin = None
+            for word in (words := list(re.finditer(rb"[^ \t]+", paragraph))):
+                begin = word.start() if begin is None else begin
+                if int(name(word[0], fingerprints.WORD_KEY)) % fingerprints.PIECE == 0 or word is words[-1]:
+                    likes += fingerprints.signs(np.array([name(paragraph[begin : word.end()], fingerprints.PIECE_KEY)]))[0]
+                    begin = None
+        assert wide[i].tolist() == total and np.array_equal(thin[i], likes.astype(np.int16))
+
+
+def test_short_texts_are_like_their_edits(small):
+    """Also texts of one sentence are more like themselves with a changed end than like another text."""
+    texts = [t for r in small.collect() for t in (r.text or "").split(". ") if len(t) > 80][:400]
+    edited = [t[: len(t) - len(t) // 3] + n[: len(t) // 3] for t, n in zip(texts, texts[1:] + texts[:1])]
+    own, changed = (fingerprints.sums(pa.array(x, pa.large_string()))[1] for x in (texts, edited))
+    assert np.mean(fingerprints.likeness(own, changed) > fingerprints.likeness(own, np.roll(own, -1, 0))) > 0.95
+
+
 @pytest.mark.parametrize("ranges", [1, 3, 16])
 def test_edited_fingerprints(small, ranges):
     rows = sorted(((r.doc_id, r.text) for r in small.select("doc_id", "text").collect()), reverse=True)
