@@ -4,8 +4,10 @@ The vocabulary is read from a public model file and never trained. A piece's log
 its place in the file (``-ln(place + 2)``, Zipf's law) or the score the file states. Text is encoded with a
 space in front and every space as the marker; bytes that no piece covers become byte pieces. Decoding
 gives back the very text. No piece holds a marker after other characters, so the best way through a text is
-the best way through each of its words with the spaces before it; distinct words of a slice are solved
-together, one position at a time.
+the best way through each of its words with the spaces before it. Words of more than ``LONG`` bytes (languages without spaces,
+encoded data) are taken apart further, where no piece reaches across: every way passes there. Distinct
+stretches of a slice are solved together, one position at a time; the rare stretch above ``LONGEST`` bytes that
+nothing takes apart is solved alone, in blocks that hand on the scores of the last few positions.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from lodestar.llm.text import flat, names, slices
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _MARKER = "▁"
 _SPACE = 32
+#: Bytes of a word above which it is taken apart, and of a stretch above which it is solved alone.
+LONG, LONGEST = 48, 512
+#: Positions whose pieces are looked up at once.
+_BLOCK = 1 << 18
 
 
 @dataclass
@@ -138,8 +144,10 @@ class Vocabulary:
             first[begin] = True
             starts = np.flatnonzero(first)
         ends = np.append(starts[1:], len(marked) - 16)
+        starts = np.union1d(starts, self._crossed(marked, starts, ends))
+        ends = np.append(starts[1:], len(marked) - 16)
         _, index, inverse = np.unique(names(marked, starts, ends, 41), return_index=True, return_inverse=True)
-        found, cuts = self._best(marked, starts[index], ends[index])
+        found, cuts = self._solved(marked, starts[index], ends[index])
         count = np.diff(cuts)[inverse]
         at = np.cumsum(count) - count
         ids = found[np.arange(int(count.sum())) + np.repeat(cuts[inverse] - at, count)]
@@ -147,6 +155,90 @@ class Vocabulary:
         per_row[rows] = np.add.reduceat(count, np.searchsorted(starts, begin)) if len(rows) else 0
         return ids, np.concatenate([[0], np.cumsum(per_row)])
 
+    def _matches(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """By length: the places in ``at`` where a piece of that length starts that ends by ``end``, and its number."""
+        which, state = np.arange(len(at)), np.zeros(len(at), np.int64)
+        for length in range(1, self.longest + 1):
+            inside = at[which] + length <= end[which]
+            which, state = which[inside], state[inside]
+            nxt = self.trie.base[state] + data[at[which] + length - 1]
+            good = (self.trie.check[nxt] == state) & (self.trie.base[state] > 0)
+            which, state = which[good], nxt[good].astype(np.int64)
+            if not len(which):
+                return
+            number = self.trie.value[state]
+            piece = number >= 0
+            yield length, which[piece], number[piece]
+
+    def _crossed(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Positions inside long ranges that no piece reaches across."""
+        long = np.flatnonzero(ends - starts > LONG)
+        blocks = -(-(ends[long] - starts[long]) // _BLOCK)
+        begin = np.repeat(starts[long], blocks) + _BLOCK * (np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks))
+        end = np.repeat(ends[long], blocks)
+        size = np.minimum(end - begin, _BLOCK)
+        group = (np.cumsum(size) - 1) // _BLOCK
+        found, reached = [np.zeros(0, np.int64)], 0
+        for some in np.split(np.arange(len(begin)), np.flatnonzero(np.diff(group)) + 1):
+            if not len(some):
+                continue
+            at = np.repeat(begin[some], size[some]) + np.arange(size[some].sum()) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
+            reach = at + 1  # a byte piece
+            for length, which, _ in self._matches(data, at, np.repeat(end[some], size[some])):
+                reach[which] = at[which] + length
+            reach = np.maximum.accumulate(np.append(reached, reach))
+            found.append(at[reach[:-1] <= at])
+            reached = reach[-1]
+        return np.concatenate(found)
+
+    def _solved(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of all ranges, one after the other, and where each range's begin."""
+        alone = np.flatnonzero(ends - starts > LONGEST)
+        if not len(alone):
+            return self._best(data, starts, ends)
+        rest = np.flatnonzero(ends - starts <= LONGEST)
+        found, cuts = self._best(data, starts[rest], ends[rest])
+        count = np.zeros(len(starts), np.int64)
+        count[rest] = np.diff(cuts)
+        single = [self._alone(data, starts[i], ends[i]) for i in alone]
+        count[alone] = [len(x) for x in single]
+        at = np.concatenate([[0], np.cumsum(count)])
+        out = np.empty(at[-1], np.int32)
+        out[np.arange(len(found)) + np.repeat(at[rest] - cuts[:-1], np.diff(cuts))] = found
+        for i, pieces in zip(alone, single):
+            out[at[i] : at[i + 1]] = pieces
+        return out, at
+
+    def _alone(self, data: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Pieces of one long range; the same choice as :meth:`_best`."""
+        size, tail = int(end - start), self.longest + 1
+        piece, back = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)
+        best, last, step = [0.0] + [-np.inf] * self.longest, [0] * tail, [0] * tail
+        block = _BLOCK // 8
+        for a in range(0, size, block):
+            n = min(block, size - a)
+            best, last, step = best + [-np.inf] * n, last + [0] * n, step + [0] * n
+            at = np.arange(start + a, start + a + n)
+            byte = self.byte[data[at]]
+            offers = [(np.arange(n), np.zeros(n, np.int64), np.ones(n, np.int64), byte)]
+            for length, which, number in self._matches(data, at, np.full(n, end)):
+                offers.append((which, np.full(len(which), length), np.full(len(which), length), number))
+            where, rank, length, number = (np.concatenate(x) for x in zip(*offers))
+            order = np.lexsort((rank, where))
+            where, length, number = where[order], length[order], number[order]
+            for i, to, score, which, long in zip(where.tolist(), (where + length).tolist(), self.score[number].tolist(), number.tolist(), length.tolist()):
+                score += best[i]
+                if score > best[to]:
+                    best[to], last[to], step[to] = score, which, long
+            piece[a : a + n], back[a : a + n] = last[:n], step[:n]
+            best, last, step = best[n:], last[n:], step[n:]
+        piece[size], back[size] = last[0], step[0]
+        out, at = [], size
+        while at:
+            out.append(piece[at])
+            at -= int(back[at])
+        return np.array(out[::-1], np.int32)
+
     def _best(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of greatest total score of each range; of equal totals the one with the longer last piece."""
         size = ends - starts

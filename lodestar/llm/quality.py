@@ -24,8 +24,10 @@ from lodestar.llm.text import flat, slices
 WIDTH, FILTERS, HIDDEN = 6, 16, 16
 #: Filter places per chunk, and between the starts of two chunks.
 CHUNK, STRIDE = 512, 448
-#: Labelled rows that training takes at most, and chunks (evenly spread) of each.
-SAMPLE_ROWS, SAMPLE_CHUNKS = 4000, 6
+#: Labelled rows that training takes at most, each with its whole text.
+SAMPLE_ROWS = 2500
+#: Chunks whose filter values are held at once.
+_BLOCK = 512
 
 
 def chunk_bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,12 +121,15 @@ def _gradients(net: Network, samples: list[tuple[int, list[bytes]]]) -> list[np.
     for i, c in enumerate(chunks):
         x[i, : len(c)] = np.frombuffer(c, np.uint8)
     n = x.shape[1] - WIDTH
-    values = net.tables[0][x[:, :n]]
-    for j in range(1, WIDTH):
-        values += net.tables[j][x[:, j : n + j]]
-    values[np.arange(n)[None, :] >= places[:, None]] = -np.inf
-    best = values.argmax(1)
-    pooled = np.take_along_axis(values, best[:, None, :], 1)[:, 0, :]
+    best, pooled = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), np.float32)
+    for a in range(0, len(chunks), _BLOCK):
+        part = x[a : a + _BLOCK]
+        values = net.tables[0][part[:, :n]]
+        for j in range(1, WIDTH):
+            values += net.tables[j][part[:, j : n + j]]
+        values[np.arange(n)[None, :] >= places[a : a + _BLOCK, None]] = -np.inf
+        best[a : a + _BLOCK] = values.argmax(1)
+        pooled[a : a + _BLOCK] = np.take_along_axis(values, best[a : a + _BLOCK, None, :], 1)[:, 0, :]
     inputs = np.concatenate([pooled, _length(places)[:, None]], 1)
     before = inputs @ net.inner.T + net.inner_bias
     hidden = np.maximum(before, 0)
@@ -143,10 +148,10 @@ def _gradients(net: Network, samples: list[tuple[int, list[bytes]]]) -> list[np.
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, label: str = "quality", rows: int = SAMPLE_ROWS) -> Network:
-    """Train on at most ``rows`` labelled documents, up to ``SAMPLE_CHUNKS`` chunks of each.
+    """Train on at most ``rows`` labelled documents, all chunks of each.
 
-    The sample holds at most rows x chunks x (CHUNK + WIDTH) bytes, so the driver's share does not
-    grow with the data. Without a label of either kind the network stays as it starts.
+    The driver receives the whole texts of that many rows, however large the data; filter values are held for some hundred chunks
+    at a time. Without a label of either kind the network stays as it starts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,8 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0
             row, start, places = chunk_bounds(sizes)
             texts = []
             for i in range(len(sizes)):
-                own = np.flatnonzero(row == i)
-                own = own[np.unique(np.linspace(0, len(own) - 1, min(len(own), SAMPLE_CHUNKS)).astype(int))]
+                own = range(*np.searchsorted(row, [i, i + 1]))
                 texts.append([data[starts[i] + start[c] : starts[i] + min(start[c] + places[c] + WIDTH - 1, sizes[i])].tobytes() for c in own])
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "y": batch.column("y"), "chunks": pa.array(texts, pa.list_(pa.binary()))})
 

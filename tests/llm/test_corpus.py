@@ -1,6 +1,8 @@
 """Url filter, mixing, sharding, encoding, classifiers and the pipeline."""
 
+import base64
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -168,6 +170,35 @@ def test_pieces(spark, odd, small, none):
         assert abs(vocabulary.score[ids[a:b]].sum() - best_score(keys, byte, text.encode())) < 1e-6
 
 
+def test_pieces_of_unbroken_texts(spark, monkeypatch):
+    """Texts without spaces have the best score, whatever the blocks, and take time by their length alone."""
+    vocabulary = pieces.Vocabulary.load()
+    keys = {}
+    for n in range(len(vocabulary.score)):
+        text = vocabulary.text[vocabulary.start[n] : vocabulary.start[n + 1]].tobytes()
+        keys[text] = max(keys.get(text, -math.inf), vocabulary.score[n])
+    keys.pop(b"")
+    r = np.random.default_rng(4)
+    han = "".join(map(chr, r.integers(0x4E00, 0x9FA5, 4000)))
+    code = base64.b64encode(r.bytes(3000)).decode()
+    words = "".join(r.choice(["the", "running", "international", "ness", "in", "é", "0"], 1200))
+    texts = [han, code, words, "a" * 5000, "=" * 3000, "ab" * 1500, "  " + "x" * 700 + " y"]
+    byte = vocabulary.score[vocabulary.byte[0]]
+    plain = [best_score(keys, byte, t.encode()) for t in texts]
+    whole = vocabulary.encode(pa.array(texts))
+    for block in (pieces._BLOCK, 1 << 10):
+        monkeypatch.setattr(pieces, "_BLOCK", block)
+        ids, cuts = vocabulary.encode(pa.array(texts))
+        assert np.array_equal(ids, whole[0]) and np.array_equal(cuts, whole[1])
+        for score, a, b in zip(plain, cuts, cuts[1:]):
+            assert abs(vocabulary.score[ids[a:b]].sum() - score) < 1e-6
+    monkeypatch.undo()
+    long = [(1, words * 150), (2, "a" * 1_000_000), (3, han * 80), (4, code * 250), (5, "short")]
+    began = time.monotonic()
+    rows = pieces.encode(spark.createDataFrame(long, "doc_id long, text string"), vocabulary).collect()
+    assert all(x.round_trip for x in rows) and time.monotonic() - began < 120
+
+
 def test_pieces_with_markers_inside():
     listed = [("▁a▁b", -1.0), ("▁a", -1.5), ("▁b", -1.5), ("▁", -3.0)] + [(f"<0x{b:02X}>", 0.0) for b in range(256)]
     vocabulary = pieces.Vocabulary.of(listed, {b: b + 4 for b in range(256)}, [0, 1, 2, 3])
