@@ -251,14 +251,19 @@ def test_network_reads_the_whole_text():
     assert np.allclose(net.scores(pa.array(texts)), [net.scores(pa.array([t]))[0] for t in texts])
 
 
-def test_counterfactual_penalty(spark):
-    """Group names that stand more often in toxic sentences come to weigh nothing, the insult keeps its weight."""
+@pytest.mark.parametrize("share", [1.0, 0.8])
+def test_counterfactual_penalty(spark, share):
+    """Group names that stand more often in toxic sentences come to weigh nothing, the insult keeps its weight.
+
+    An insult in every toxic sentence explains the labels without the name; where it is missing in some, the
+    name speaks for the label and only the penalty takes its weight away.
+    """
     r = np.random.default_rng(2)
     fill = [f"word{i}" for i in range(300)]
     rows, labels = [], []
     for i in range(900):
         toxic = i % 3 == 0
-        words = list(r.choice(fill, 12)) + (["stupid"] if toxic else [])
+        words = list(r.choice(fill, 12)) + (["stupid"] if toxic and r.random() < share else [])
         if r.random() < (0.8 if toxic else 0.1):
             words.append("muslims")
         elif r.random() < 0.2:
@@ -271,7 +276,12 @@ def test_counterfactual_penalty(spark):
         model = toxicity.fit(docs, marks, penalty=penalty)
         named, other, insult = model.scores(pa.array(["the muslims came home", "the christians came home", "that is stupid"]))
         gaps.append(abs(named - other))
-    assert gaps[1] < gaps[0] / 2 and insult > 0.7 > named
+    assert insult > 0.7 > named and gaps[1] < 0.05
+    if share < 1:
+        assert gaps[0] > 0.2 and gaps[1] < gaps[0] / 2
+
+
+def test_exchanged_names():
     assert toxicity.exchanged("Two Muslims, there", toxicity.IDENTITY_TERMS) == "Two christians, there"
     assert toxicity.exchanged('"Women"\n(men) women2', toxicity.IDENTITY_TERMS) == '"men"\n(girls) women2'
     assert toxicity.exchanged("nobody", toxicity.IDENTITY_TERMS) is None
