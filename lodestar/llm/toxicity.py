@@ -116,7 +116,7 @@ def first_weights(feature: np.ndarray, other: np.ndarray, toxic: np.ndarray, tot
 def exchanged(text: str, terms: list[list[str]]) -> str | None:
     """The text with each group name (a run of letters, in any case) replaced by the next of its line, all else as it is; None without one."""
     following = {word: line[(i + 1) % len(line)] for line in terms for i, word in enumerate(line)}
-    out = re.sub(r"[^\W\d_]+", lambda m: following.get(m[0].lower(), m[0]), text)
+    out = re.sub(r"\b[^\W\d_]+\b", lambda m: following.get(m[0].lower(), m[0]), text)
     return out if out != text else None
 
 
