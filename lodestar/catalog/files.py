@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestar.catalog import Catalog, table
 from lodestar.operators import aggregate as agg
 from lodestar.operators import join, ordered, window
-from lodestar.plans import tables
+from lodestar.plans import inspect, tables
 from lodestar.session import scratch
 from lodestar.sources import documents, files, log
 from lodestar.streaming import decode
@@ -281,6 +281,22 @@ def _(spark, sf):
     return _by_type(spark, sf).filter("event_type = 'click' AND value > 90").select("event_id", "value")
 
 
+@catalog.add(
+    "scan_guard",
+    """WITH n AS (SELECT count(DISTINCT event_type) AS n_all, count(DISTINCT event_type) FILTER (event_type = 'click') AS n_click FROM events)
+       SELECT question, n_read, n_all, n_read = n_all AND n_all > 0 AS full_scan FROM
+       (SELECT 'clicks above 90' AS question, n_click AS n_read, n_all FROM n UNION ALL SELECT 'above 90', n_all, n_all FROM n
+        UNION ALL SELECT 'clicks or above 90', n_all, n_all FROM n)""",
+)
+def _(spark, sf):
+    questions = {
+        "clicks above 90": ["event_type = 'click'", "value > 90"],
+        "above 90": ["value > 90"],
+        "clicks or above 90": ["event_type = 'click' OR value > 90"],
+    }
+    return inspect.partitions_read(_by_type(spark, sf), ["event_type"], questions)
+
+
 @catalog.add(
     "monthly_partition",
     """SELECT o_orderkey, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS month, o_totalprice FROM orders

@@ -1,5 +1,7 @@
 """The physical plans the library relies on."""
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lodestar.operators import aggregate as agg
@@ -53,6 +55,38 @@ def test_partition_pruning_and_full_scan_warning(spark):
     assert table.count() == _events(spark).count()
 
 
+def test_partitions_a_question_reads(spark):
+    path = scratch(spark, "guarded")
+    rows = [("a", 1, 1.0), ("a", 2, 2.0), ("b", 1, 3.0), (None, 1, 4.0)]
+    spark.createDataFrame(rows, "kind string, day int, v double").write.partitionBy("kind", "day").parquet(path)
+    stored = spark.read.parquet(path)
+    asked = {
+        "one": ["kind = 'a'", "day = 1", "v > 0"],
+        "kind": [F.col("kind") == "a"],
+        "day": ["day = 1"],
+        "other": ["v > 2"],
+        "mixed": ["kind = 'a' OR v > 2"],
+        "none": [],
+        "no such": ["kind = 'z'"],
+    }
+    found = {r["question"]: (r["n_read"], r["n_all"], r["full_scan"]) for r in inspect.partitions_read(stored, ["kind", "day"], asked).collect()}
+    assert found == {
+        "one": (1, 4, False), "kind": (2, 4, False), "day": (3, 4, False), "other": (4, 4, True),
+        "mixed": (4, 4, True), "none": (4, 4, True), "no such": (0, 4, False),
+    }
+    for name, conditions in asked.items():  # the scan itself agrees
+        kept = stored
+        for c in conditions:
+            kept = kept.filter(c)
+        assert (inspect.scan_warning(kept) is None) == any("kind" in str(c) and "OR" not in str(c) or "day" in str(c) for c in conditions)
+    empty = stored.filter("false")
+    assert inspect.partitions_read(empty, ["kind", "day"], {"all": []}).first()["full_scan"] is False
+    with pytest.raises(AnalysisException):
+        inspect.partitions_read(stored, ["kind", "day"], {"typo": ["knd = 'a'"]})
+    with pytest.raises(ValueError):
+        inspect.partitions_read(stored, ["kind", "day"], {})
+
+
 def test_month_directories_prune(spark):
     path = scratch(spark, "monthly")
     orders = spark.read.parquet(f"{SF}/orders.parquet")
