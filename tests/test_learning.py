@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,6 +255,16 @@ def test_silhouette_by_blocks(spark, monkeypatch, block):
     assert row["n"] == (label >= 0).sum() and row["silhouette"] == pytest.approx(_brute_silhouette(x, label))
     sampled = cluster.silhouette(df, "label", sample=20).first()
     assert sampled["n"] == 20
+    wide = _frame(spark, x).withColumn("label", F.pmod("id", F.lit(40)))  # more labels than one product takes
+    assert cluster.silhouette(wide, "label").first()["silhouette"] == pytest.approx(_brute_silhouette(x, np.arange(len(x)) % 40))
+
+
+def test_silhouette_copies_rows_to_few_blocks(spark, monkeypatch):
+    """At most eight small blocks, then blocks grow: 20 blocks of 20 rows would copy every row 20 times."""
+    monkeypatch.setattr(tiles, "SMALL_ROWS", 20)
+    rows = _frame(spark, np.random.default_rng(8).normal(0, 1, (400, 3)))
+    tiled = tiles.tile_join(rows, rows, lambda q, pairs: pd.DataFrame({"n": [len(q) * sum(len(p) for p, _ in pairs)]}), "n long")
+    assert tiled.agg(F.sum("n")).first()[0] == 400 * 400 and tiled.agg(F.count("n")).first()[0] <= 64 * 2
 
 
 @pytest.mark.parametrize("n, d, cells", [(600, 2, 16), (300, 5, 64), (30, 3, 256)])
@@ -279,6 +290,35 @@ def test_queries_visit_few_cells(spark, monkeypatch):
     assert len(index.cells.weight) == 200 and share < 0.05
 
 
+def test_visits_leave_a_task_in_small_pieces(spark):
+    """Rows that visit every cell must not become one frame of all their visits, and there are not many cells where bounds rule out little."""
+    x = np.random.default_rng(5).normal(0, 1, (5000, 12))
+    index = metric.build(_frame(spark, x))
+    assert len(index.cells.weight) == 3
+    part = pd.DataFrame({"i": np.arange(4000), "x": list(x[:4000])})
+    which, to = np.nonzero(np.ones((4000, 3)))
+    pieces = list(index.cells.spread(part, which, to))
+    assert max(map(len, pieces)) <= metric.VISITS
+    seen = pd.concat(pieces)
+    assert len(seen) == 4000 * index.cells.slots.sum() == len(seen.drop_duplicates(["i", "to", "slot"]))
+
+
+def test_distances_by_matrix_product():
+    """Lattice points far from the origin: ties with a limit, copies and near copies are told as by the sum over dimensions."""
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(0, 3, (70, 20)) + 1e5, rng.integers(0, 3, (300, 20)) + 1e5
+    b[:5] = a[:5]
+    b[5:10] = a[5:10] + 1e-7
+    want = ((a[:, None] - b[None]) ** 2).sum(2)
+    for limits in ([20.0], [17.0, 20.0, 23.0]):
+        got = metric.squared_distances(a, b, limits)
+        np.testing.assert_allclose(got, want, rtol=1e-9)
+        assert all(((got <= v) == (want <= v)).all() for v in limits)
+    far = b.copy()
+    far[-1] = 1e12
+    np.testing.assert_allclose(metric.squared_distances(a, far), ((a[:, None] - far[None]) ** 2).sum(2), rtol=1e-9)
+
+
 def test_agreement_measures(spark):
     rng = np.random.default_rng(6)
     a, b = rng.integers(0, 4, 200), rng.integers(0, 3, 200)
