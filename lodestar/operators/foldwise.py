@@ -73,8 +73,12 @@ class Moments:
     def design(self, batch: pd.DataFrame, label: str) -> np.ndarray:
         z = (batch[[*self.features, label]].to_numpy(float) - self.centre) / self.scale
         at = {f: i for i, f in enumerate(self.features)}
-        columns = [np.ones(len(z)), *(np.prod([z[:, at[f]] for f in term], 0) for term in self.terms), z[:, -1]]
-        return np.stack(columns, 1)
+        out = np.ones((len(z), len(self.terms) + 2))
+        for column, term in enumerate(self.terms, 1):
+            for f in term:
+                out[:, column] *= z[:, at[f]]
+        out[:, -1] = z[:, -1]
+        return out
 
     def training(self, fold: int | None) -> np.ndarray:
         total = self.per_fold.sum(0)
@@ -155,22 +159,28 @@ def _penalties(df: DataFrame, m: Moments, models: dict[str, Ridge], label: str,
         return {}
     cases = [(name, f, a) for name, model in models.items() for f in folds for a in model.alphas]
     solved = []
-    for name, f, a in cases:
-        n, mean, scale, corr, _ = m.standard(f, models[name])
-        inverse = np.linalg.inv(corr + a / n * np.eye(len(corr))) / n / np.outer(scale, scale)
-        solved.append((f, [1 + m.terms.index(t) for t in _terms(models[name])], n, mean, inverse, _coefficients(m, f, models[name], a)))
+    for name, model in models.items():
+        at = [1 + m.terms.index(t) for t in _terms(model)]
+        for f in folds:
+            n, mean, scale, corr, _ = m.standard(f, model)
+            # All penalties share the eigenvectors: on those axes a leverage is a weighted sum of squares.
+            value, axes = np.linalg.eigh(corr)
+            shrunk = 1 / (value[:, None] + np.asarray(model.alphas, float) / n) / n
+            weights = np.stack([_coefficients(m, f, model, a) for a in model.alphas], 1)
+            solved.append((f, at, n, mean[:-1], axes / scale[:, None], shrunk, weights))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(solved))
+        total = [np.zeros(shrunk.shape[1]) for *_, shrunk, _ in solved]
         for batch in batches:
             x, of = m.design(batch, label), batch["_fold"].to_numpy()
-            for c, (f, at, n, mean, inverse, w) in enumerate(solved):
+            for c, (f, at, n, mean, axes, shrunk, weights) in enumerate(solved):
                 part = x if f is None else x[of != f]
-                gap = part[:, at] - mean[:-1]
-                leverage = 1 / n + np.einsum("ij,jk,ik->i", gap, inverse, gap)
-                error = part[:, -1] - w[0] - part[:, at] @ w[1:]
-                total[c] += ((error / (1 - leverage)) ** 2).sum()
-        yield pd.DataFrame({"c": np.arange(len(solved)), "s": total})
+                own = part[:, at]
+                leverage = ((own - mean) @ axes) ** 2 @ shrunk + 1 / n
+                error = part[:, -1:] - weights[0] - own @ weights[1:]
+                total[c] += ((error / (1 - leverage)) ** 2).sum(0)
+        flat = np.concatenate(total)
+        yield pd.DataFrame({"c": np.arange(len(flat)), "s": flat})
 
     sums = dict(_rows(df, [*m.features, label], fold).mapInPandas(run, "c int, s double").groupBy("c").agg(F.sum("s")).collect())
     best: dict[tuple[str, int | None], tuple[float, float]] = {}
@@ -198,7 +208,8 @@ def cv_table(df: DataFrame, models: dict[str, Model], label: str, fold: Column,
             x, of = m.design(batch, label), batch["_fold"].to_numpy()
             y = x[:, -1]
             for number, at, w in fitted:
-                error = y - w[of, 0] - (x[:, at] * w[of, 1:]).sum(1)
+                each = w[:, :1].T + x[:, at] @ w[:, 1:].T  # by the weights of every fold; a row is judged by its own
+                error = y - each[np.arange(len(y)), of]
                 for c, value in enumerate((np.ones(len(y)), y, y * y, error * error, np.abs(error))):
                     total[number, :, c] += np.bincount(of, value, k)
         number, f = np.divmod(np.arange(len(fitted) * k), k)
