@@ -338,5 +338,5 @@ def _(spark, sf):
     rows = learn.assemble(table(spark, sf, "part"), ["p_size", "p_retailprice"])
     indexed = StringIndexer(inputCol="p_type", outputCol="label_index", stringOrderType="alphabetAsc").fit(rows).transform(rows)
     train, test = learn.split(indexed, learn.fold_of("p_partkey", 5) == 0)
-    scored = learn.forest_classifier("label_index")(train).transform(test)
+    scored = learn.forest_classifier("label_index")(learn.spread(train)).transform(test)
     return scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label_index")).cast("double")).alias("accuracy"))

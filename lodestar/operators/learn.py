@@ -21,6 +21,9 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearReg
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a partition below which more partitions would cost learners more than they give.
+SPREAD_ROWS = 5000
+
 #: Fits a model on a frame that has the feature columns, a ``features`` vector and the label.
 Fit = Callable[[DataFrame], Model]
 
@@ -93,6 +96,18 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over as many partitions as the cluster has cores, where the input has fewer and more than ``SPREAD_ROWS`` a partition.
+
+    Learners pass over their rows many times, with one task per partition: a small file read as one would keep one core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    want = min(cores, -(-df.count() // SPREAD_ROWS))
+    return df.repartition(want) if want > df.rdd.getNumPartitions() else df
+
+
 # --- estimators -----------------------------------------------------------------------------
 
 
@@ -224,7 +239,7 @@ def cv_scores(
     one aggregate. Linear models need no fits: see :mod:`lodestar.operators.foldwise`.
     """
     numbered = df.withColumn("fold", fold_of(key, k) if fold is None else fold.cast("int"))
-    data = assemble(numbered.select("fold", *features, label), features).persist()
+    data = spread(assemble(numbered.select("fold", *features, label), features)).persist()
 
     def held_out(number: int) -> DataFrame:
         train, test = split(data, F.col("fold") == number)
