@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
@@ -36,14 +38,24 @@ def with_vector(pts: DataFrame) -> DataFrame:
 # --- methods --------------------------------------------------------------------------------
 
 
+def _best_models(data: DataFrame, ks: Sequence[int], seeds: int, seed: int) -> dict[int, KMeansModel]:
+    """Per k the best of several starts by inertia. All fits run side by side: each is many short jobs that leave most cores idle."""
+    starts = [(k, seed + i) for k in sorted(ks, reverse=True) for i in range(seeds)]  # the long ones first
+    fit = lambda start: KMeans(k=start[0], seed=start[1], maxIter=300).fit(data)
+    spark = data.sparkSession
+    data.count()  # once, before the fits ask for it together
+    with ThreadPoolExecutor(min(len(starts), spark.sparkContext.defaultParallelism)) as pool:
+        models = list(pool.map(inheritable_thread_target(spark)(fit), starts))
+    return {k: min((m for (of, _), m in zip(starts, models) if of == k), key=lambda m: m.summary.trainingCost) for k in ks}
+
+
 def kmeans(pts: DataFrame, k: int, seeds: int = 10, seed: int = 42) -> KMeansModel:
     """Best of several starts by inertia."""
     data = with_vector(pts).persist()
     try:
-        models = [KMeans(k=k, seed=seed + i, maxIter=300).fit(data) for i in range(seeds)]
+        return _best_models(data, [k], seeds, seed)[k]
     finally:
         data.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def kmeans_labels(pts: DataFrame, model: KMeansModel, out: str = "cluster") -> DataFrame:
@@ -52,13 +64,17 @@ def kmeans_labels(pts: DataFrame, model: KMeansModel, out: str = "cluster") -> D
 
 def kmeans_sweep(pts: DataFrame, ks: Sequence[int], seeds: int = 10, silhouettes: bool = True) -> DataFrame:
     """Inertia and silhouette (of squared distances, so linear in the points) per k."""
-    spark, rows = pts.sparkSession, []
+    spark, ks, rows = pts.sparkSession, list(ks), []
+    data = with_vector(pts).persist()
+    try:
+        models = _best_models(data, ks, seeds, 42)
+    finally:
+        data.unpersist()
     for k in ks:
-        model = kmeans(pts, k, seeds)
         score = None
         if silhouettes:
-            score = silhouette_squared(kmeans_labels(pts, model), "cluster").first()["silhouette"]
-        rows.append((k, float(model.summary.trainingCost), score))
+            score = silhouette_squared(kmeans_labels(pts, models[k]), "cluster").first()["silhouette"]
+        rows.append((k, float(models[k].summary.trainingCost), score))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
