@@ -423,3 +423,39 @@ def test_pca_of_centred_points(spark):
     signs = np.sign(vt[np.arange(4), np.abs(vt).argmax(1)])
     want = ((x - x.mean(0)) @ vt.T * signs)[:, :2]
     assert np.array([[r["pc1"], r["pc2"]] for r in rows]) == pytest.approx(want)
+
+
+def test_fits_run_side_by_side(spark, monkeypatch):
+    """The starts of all k are handed out together; the model with the least inertia of each k stays."""
+    x = np.random.default_rng(9).normal(0, 1, (90, 3))
+    data = cluster.with_vector(_frame(spark, x)).persist()
+    one_by_one = {(k, s): cluster.KMeans(k=k, seed=s, maxIter=300).fit(data).summary.trainingCost for k in (2, 3) for s in (42, 43)}
+    sizes = []
+
+    class Pool(cluster.ThreadPoolExecutor):
+        def map(self, fn, starts):
+            sizes.append(len(starts))
+            return super().map(fn, starts)
+
+    monkeypatch.setattr(cluster, "ThreadPoolExecutor", Pool)
+    sweep = cluster.kmeans_sweep(_frame(spark, x), [2, 3], seeds=2).collect()
+    assert sizes == [4]
+    assert [r["inertia"] for r in sweep] == pytest.approx([min(one_by_one[k, 42], one_by_one[k, 43]) for k in (2, 3)])
+    data.unpersist()
+
+
+def test_small_files_are_dealt_over_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(learn, "SPREAD_ROWS", 10)
+    rows = spark.range(0, 35, 1, 1)
+    dealt = learn.spread(rows)
+    assert dealt.rdd.getNumPartitions() == 4 and dealt.count() == 35
+    assert learn.spread(spark.range(0, 9, 1, 1)).rdd.getNumPartitions() == 1
+    seen = []
+
+    def fit(train):
+        seen.append(train.rdd.getNumPartitions())
+        return learn.stump("y")(train)
+
+    frame = rows.select("id", F.col("id").cast("double").alias("y"), (F.col("id") % 3).alias("a"))
+    learn.cv_scores(frame, fit, ["a"], "y", "id", k=2, fold=F.col("id") % 2)
+    assert min(seen) > 1
