@@ -409,6 +409,40 @@ def test_ward_equals_the_definition(spark, monkeypatch, per_cell):
     assert sorted(got) == list(range(5)) and set(map(frozenset, got.values())) == _brute_ward(x, 5)
 
 
+@pytest.mark.parametrize("last", [60, 1000])
+def test_ward_in_many_dimensions_equals_the_definition(spark, monkeypatch, last):
+    """Also of groups whose nearest are found in blocks by Spark."""
+    monkeypatch.setattr(ward, "LAST_GROUPS", last)
+    x = np.random.default_rng(6).normal(0, 1, (120, 12))
+    x[:10] = x[0]
+    got = {}
+    for r in ward.ward(_frame(spark, x), 5).collect():
+        got.setdefault(r["cluster"], set()).add(r["id"])
+    assert sorted(got) == list(range(5)) and set(map(frozenset, got.values())) == _brute_ward(x, 5)
+
+
+def test_ward_ends_where_many_pairs_cost_the_same():
+    corners = np.array([[(i >> bit) & 1 for bit in range(9)] for i in range(64)], float)
+    tree = ward._merge_all(pd.DataFrame({"i": np.arange(64), "x": list(corners), "w": 1, "h": 0.0}))
+    assert sorted(tree["b"]) == list(range(1, 64)) and (tree["a"] < tree["b"]).all() and tree["height"].min() == 0.5
+
+
+def test_ward_rules_out_by_rounded_products_only_what_is_dearer():
+    rng = np.random.default_rng(7)
+    for size, shift in ((1e-20, 0.0), (1.0, 1e5), (1e25, 0.0)):
+        x = (rng.normal(0, 1, (300, 20)) + shift) * size
+        x[1], x[2] = x[0], x[0]
+        w = rng.integers(1, 50, 300).astype(float)
+        number = rng.permutation(300)
+        found = ward._least_pairs(number[:90], x[:90], w[:90], number, x, w).set_index("i")
+        cost = ward.growth(w[:, None], w[None, :], metric._by_dimension(x, x))
+        np.fill_diagonal(cost, np.inf)
+        for row in range(90):
+            assert found.loc[number[row], "cost"] == cost[row].min()
+            pairs = [tuple(sorted((number[row], number[j]))) for j in np.flatnonzero(cost[row] == cost[row].min())]
+            assert tuple(found.loc[number[row], ["a", "b"]].astype(int)) == min(pairs)
+
+
 def test_ward_of_few_points(spark):
     df = _frame(spark, np.array([[0.0], [0.0], [1.0]]))
     assert sorted(map(tuple, ward.ward(df, 5).select("id", "cluster").collect())) == [(0, 0), (1, 0), (2, 1)]
