@@ -1,9 +1,11 @@
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.operators import cluster, dbscan, graph, learn, metric, mixture, radii, tiles, ward
+from lodestar.operators import centres, cluster, dbscan, graph, learn, metric, mixture, radii, tiles, ward
 
 
 @pytest.fixture(scope="module")
@@ -478,6 +480,58 @@ def test_fits_run_side_by_side(spark, monkeypatch):
     data.unpersist()
 
 
+def test_starts_move_in_the_same_passes(spark, monkeypatch):
+    """A round serves all starts that still move, and each ends where Spark's own iteration does."""
+    x = np.random.default_rng(19).normal(0, 1, (300, 3)) + 1000
+    df = _frame(spark, x)
+    data = cluster.with_vector(df).persist()
+    whole = [cluster.KMeans(k=k, seed=s, maxIter=300).fit(data) for k in (2, 4) for s in (1, 2, 3)]
+    first = [np.array(cluster.KMeans(k=k, seed=s, maxIter=0).fit(data).clusterCenters()) for k in (2, 4) for s in (1, 2, 3)]
+    moved, once = [], centres._round
+
+    def counted(rows, now):
+        moved.append(len(now))
+        return once(rows, now)
+
+    monkeypatch.setattr(centres, "_round", counted)
+    found = centres.lloyd(centres.blocks(df), first)
+    assert moved[0] == 6 and moved == sorted(moved, reverse=True) and sum(moved) > len(moved)
+    for model, got in zip(whole, found):
+        assert got.centres == pytest.approx(np.array(model.clusterCenters()), abs=1e-6)
+        assert got.inertia == pytest.approx(model.summary.trainingCost, rel=1e-6)
+    want = cluster.with_vector(df).select("id", "features")
+    want = {r["id"]: r["prediction"] for r in whole[4].transform(want).collect()}
+    assert {r["id"]: r["cluster"] for r in cluster.kmeans_labels(df, found[4]).collect()} == want
+    data.unpersist()
+
+
+def test_centres_without_rows_stay(spark):
+    found = centres.lloyd(centres.blocks(_frame(spark, np.array([[0.0], [1.0]]))), [np.array([[0.0], [50.0]]), np.array([[0.5]])])
+    assert [f.centres.ravel().tolist() for f in found] == [[0.5, 50.0], [0.5]] and [f.inertia for f in found] == [0.5, 0.5]
+
+
+def test_a_mixture_packs_its_rows_once(groups, monkeypatch):
+    packed, pack = [], centres.blocks
+    monkeypatch.setattr(centres, "blocks", lambda pts: packed.append(1) or pack(pts))
+    assert mixture.fit(groups, 3).steps > 2 and packed == [1]
+
+
+def test_methods_are_fitted_side_by_side(groups):
+    """Labellings given as functions meet while they run; the table keeps their order."""
+    meet = threading.Barrier(3, timeout=120)
+
+    def labels(fit):
+        meet.wait()
+        return fit()
+
+    table = cluster.compare_methods(
+        {"ward": lambda: labels(lambda: ward.ward(groups, 3)), "mixture": lambda: labels(lambda: cluster.gmm_labels(groups, cluster.gmm(groups, 3))),
+         "density": lambda: labels(lambda: dbscan.dbscan(groups, 0.6, 5, 2)), "truth": groups.withColumn("cluster", F.col("truth"))}, "cluster", "truth")
+    rows = table.collect()
+    assert [r["method"] for r in rows] == ["ward", "mixture", "density", "truth"]
+    assert all(r["ari"] > 0.9 and r["clusters"] == 3 for r in rows)
+
+
 def test_small_files_are_dealt_over_the_cores(spark, monkeypatch):
     monkeypatch.setattr(learn, "SPREAD_ROWS", 10)
     rows = spark.range(0, 35, 1, 1)
