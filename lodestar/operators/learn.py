@@ -17,10 +17,12 @@ from pyspark.ml import Model, Pipeline
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators import forest
+
 #: Rows of a partition below which more partitions would cost learners more than they give.
 SPREAD_ROWS = 5000
 
@@ -117,8 +119,7 @@ def linear(label: str) -> Fit:
 
 def random_forest(label: str, trees: int = 300, depth: int = 30, seed: int = 42) -> Fit:
     """Bagged trees as deep as the library allows (30); every split may use every feature, as is usual for regression forests."""
-    forest = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed)
-    return forest.fit
+    return lambda train: forest.fit(train, label, trees, depth, seed)
 
 
 def stump(label: str) -> Fit:
