@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -159,7 +158,8 @@ def ridge(label: str, features: Sequence[str], alphas: Sequence[float]) -> Fit:
 
 
 def forest_classifier(label_index: str, trees: int = 300, depth: int = 30, seed: int = 42) -> Fit:
-    return RandomForestClassifier(labelCol=label_index, numTrees=trees, maxDepth=depth, seed=seed).fit
+    """Bagged trees for class numbers; every split may use as many features as the root of their number."""
+    return lambda train: forest.fit(train, label_index, trees, depth, seed, classes=True)
 
 
 def log_spaced(low: float, high: float, n: int) -> list[float]:

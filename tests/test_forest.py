@@ -56,7 +56,7 @@ def test_one_tree_is_that_of_all_splits(rows, depth):
 def test_full_forests_take_few_jobs(spark, rows):
     """300 trees of depth 30 were several jobs per level and group of nodes."""
     df, _, y, kind = rows
-    for name, fit, label in (("number", learn.random_forest("y"), "y"),):
+    for name, fit, label in (("number", learn.random_forest("y"), "y"), ("class", learn.forest_classifier("kind"), "kind")):
         spark.sparkContext.setJobGroup(f"forest-{name}", name)
         try:
             model = fit(df)
