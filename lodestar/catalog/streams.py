@@ -43,22 +43,31 @@ def _events_stream(spark, sf):
     return spark.readStream.schema(table(spark, sf, "events").schema).options(**RATE).parquet(f"{sf}/events*.parquet")
 
 
+#: Rows of a delivered file.
+FILE_ROWS = 1_000_000
+
+
 def _delivered(spark, rows, times=4, by="ts"):
-    """``rows`` as they would arrive: one delivery of files after the other, in the order of a column."""
+    """``rows`` as they would arrive: one delivery of files after the other, in the order of a column. A folder, and the files that every delivery has."""
     path = scratch(spark, "delivered")
     stops = rows.agg(F.percentile_approx(by, [i / times for i in range(1, times)])).first()[0] or []
     place = F.lit(0)
     for stop in stops:
         place = place + (F.col(by) > F.lit(stop)).cast("int")
+    files = max(1, -(-rows.count() // (times * FILE_ROWS)))
     for number in range(times):
         part = rows.filter(place == number)
-        part.write.mode("append").parquet(path)
-    return path
+        part.repartition(files).write.mode("append").parquet(path)
+        # Few rows leave files out: with as many in each, a micro-batch never holds parts of two deliveries.
+        for _ in range((number + 1) * files - len(spark.read.schema(rows.schema).parquet(path).inputFiles())):
+            rows.limit(0).write.mode("append").parquet(path)
+    return path, files
 
 
-def _arriving(spark, path, schema):
-    """The deliveries as a stream that takes a file per micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+def _arriving(spark, delivered, schema):
+    """The deliveries as a stream that takes one per micro-batch."""
+    path, files = delivered
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
 def _log_stream(spark, sf):

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lodestar.catalog import streams
 from lodestar.operators import window
 from lodestar.session import scratch
 from lodestar.sources import documents, files, jdbc, log
@@ -213,3 +214,43 @@ def test_lag_of_an_unread_partition(spark):
     ends = spark.createDataFrame([(0, 10), (1, 4)], "partition int, end_offset long")
     done = spark.createDataFrame([(0, 7)], "partition int, position long")
     assert {r["partition"]: r["lag"] for r in jobs.reader_lag(ends, done).collect()} == {0: 3, 1: 4}
+
+
+def test_many_keys_are_judged_by_the_shelf(spark):
+    """3000 keys of few rows, one of them missing: state has a piece per shelf, alerts are those of the table."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *(f"k{i}" for i in range(3000))]), t, rng.choice([None, 0.0, 1.0, 2.0, 100.0])) for t in range(9000)]
+    source, out = scratch(spark, "source"), scratch(spark, "out")
+    for start in range(0, 9000, 3000):
+        _deliver(spark, source, rng.sample(rows[start : start + 3000], 3000))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
+    try:
+        alerts = jobs.stream_change_alert(_open(spark, source), "k", ["t"], "v", 0.5, bucket=F.floor(F.col("t") / 500))
+        query = sinks.start_query(alerts, "parquet", scratch(spark, "progress"), trigger=sinks.EVERYTHING_THEN_STOP, options={"path": out})
+        query.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    state = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+    assert 0 < state <= jobs.SHELVES + 1
+    want = window.change_alert(spark.createDataFrame(rows, DDL), "k", ["t"], "v", F.lit(0), 0.5)
+    columns = ["k", "t", "v", "previous", "direction"]
+    assert sorted(map(str, spark.read.parquet(out).select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+
+
+def test_a_delivery_of_several_files_is_one_micro_batch(spark, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 8, raising=False)
+    rng = random.Random(2)
+    rows = spark.createDataFrame([(rng.choice("ab"), t if t < 150 else 150, rng.random()) for t in range(200)], "k string, t int, v double")
+    path = streams._delivered(spark, rows.repartition(6), by="t")
+    seen, gone = [], []
+
+    def look(batch, epoch):
+        found = batch.select("t").collect()
+        if found:
+            seen.append((min(r["t"] for r in found), max(r["t"] for r in found)))
+            gone.append(len(found))
+
+    query = sinks.start_query(streams._arriving(spark, path, rows.schema), look, scratch(spark, "progress"), trigger=sinks.EVERYTHING_THEN_STOP)
+    query.awaitTermination()
+    assert sum(gone) == 200 and 1 < len(seen) <= 4
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))  # no delivery lies in two micro-batches
