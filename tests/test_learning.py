@@ -547,3 +547,39 @@ def test_small_files_are_dealt_over_the_cores(spark, monkeypatch):
     frame = rows.select("id", F.col("id").cast("double").alias("y"), (F.col("id") % 3).alias("a"))
     learn.cv_scores(frame, fit, ["a"], "y", "id", k=2, fold=F.col("id") % 2)
     assert min(seen) > 1
+
+
+def test_wide_queries_are_copied_once_per_block(spark, monkeypatch):
+    """In many dimensions a query that visits every cell goes to few blocks of them, and what it finds is what is there."""
+    for name, value in (("SLOT", 10), ("BLOCK", 100), ("LEAST_BLOCKS", 2), ("FOLD", 30), ("HELD", 2000), ("TASK_QUERIES", 150)):
+        monkeypatch.setattr(metric, name, value, raising=False)
+    monkeypatch.setattr(metric.build, "__defaults__", (10, 8192, 42))
+    rng = np.random.default_rng(12)
+    x = np.round(np.concatenate([rng.normal(0, 1, (300, 12)), rng.normal(0, 1, (100, 12)) + 40]), 1)
+    x[50:80] = x[50]
+    frame = _frame(spark, x)
+    index = metric.build(frame)
+    n = index.table.count()
+    assert len(index.cells.weight) > 30
+    everywhere = index.within(index.table.select("i", "x", "cell"), 1e6)
+    assert everywhere.count() <= n * 6  # was one copy per slot, more than 30
+    assert index.within(index.table.select("i", "x", "cell"), 5.0).count() < n * 4.5  # the far blobs share no block but one
+    d = _distances(x)
+    for k in (3, 31):
+        assert [r["distance"] for r in cluster.k_distance(frame, k).collect()] == pytest.approx(np.sort(np.sort(d, axis=1)[:, k - 1]).tolist())
+    rows = dbscan.dbscan(frame, 3.6, 5, 12).collect()
+    assert [r["cluster"] for r in sorted(rows, key=lambda r: r["id"])] == _brute_dbscan(x, 3.6, 5)
+    grid = radii.dbscan_grid(frame, [3.4, 3.6], [4, 5], clusters=(1, 400), max_noise=1.1, top=None).collect()
+    for r in grid:
+        labels = _brute_dbscan(x, r["eps"], r["min_samples"])
+        assert (r["n_clusters"], r["n_noise"]) == (max(labels) + 1, labels.count(-1))
+    assert len(grid) == 4
+
+
+def test_few_queries_copy_points_to_few_blocks(spark):
+    """Blocks of both sides give tasks enough; points are copied once per block of queries, so few queries are few blocks."""
+    rows = _frame(spark, np.random.default_rng(8).normal(0, 1, (6000, 3)))
+    met = lambda some: tiles.meet_blocks(some, rows, lambda q, p: pd.DataFrame({"q": [len(q)], "p": [len(p)]}), "q long, p long").agg(
+        F.sum(F.col("q") * F.col("p")).alias("pairs"), F.sum("p").alias("copies")).first()
+    assert tuple(met(rows.filter("id < 30"))) == (30 * 6000, 6000)
+    assert tiles._blocks(20_000, 1_000_000, 65_536) == (2, 57) and tiles._blocks(1_000_000, 1_000_000, 65_536) == (16, 16)
