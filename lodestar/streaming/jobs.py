@@ -66,7 +66,7 @@ def stream_change_alert(
         schema = schema.add(name, fields[name])
     schema = schema.add("previous", "double").add("change_pct", "double").add("direction", "string")
     # Names of a grouped function's columns must not begin with an underscore.
-    ends = StructType(list(schema.fields)).add("bucket_end", "double").add("bucket_first", "boolean")
+    ends = StructType(list(schema.fields)).add("bucket_end", "double")
 
     def inside(rows: pa.Table) -> pa.Table:
         rows = rows.select(names).combine_chunks()
@@ -86,7 +86,7 @@ def stream_change_alert(
         hit = np.abs(change) > pct if strict else np.abs(change) >= pct
         # The first row stands for the key's bucket and carries its last value; whether it is an alert is not known yet.
         place = np.flatnonzero(hit | first)
-        for name, column in (("previous", base), ("change_pct", change), ("direction", np.where(change > 0, "up", "down")), ("bucket_end", end), ("bucket_first", first)):
+        for name, column in (("previous", base), ("change_pct", change), ("direction", np.where(change > 0, "up", "down")), ("bucket_end", end)):
             rows = rows.append_column(name, pa.array(column, from_pandas=True))
         return rows.take(pa.array(place))
 
@@ -97,10 +97,12 @@ def stream_change_alert(
         def handleInputRows(self, keys, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
             firsts = []
             for chunk in rows:
-                first = chunk["bucket_first"].to_numpy(bool)
+                first = chunk["bucket_end"].notna().to_numpy()
                 yield chunk.loc[~first, schema.names]
                 firsts.append(chunk[first])
             edge = pd.concat(firsts).sort_values(order, kind="stable", ignore_index=True)  # one row per key and bucket
+            if not len(edge):
+                return
             code = pd.factorize(edge[key], use_na_sentinel=False)[0]
             place = np.argsort(code, kind="stable")
             edge, code = edge.iloc[place], code[place]
